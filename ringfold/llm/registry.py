@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ringfold.llm.op1_mix import op1_mix
+from ringfold.llm.op2_rules import SQL as OP2_SQL
+from ringfold.llm.op2_rules import op2_rules
 
-QUERIES = {"op1_mix": op1_mix}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_mix": op1_mix, "op2_rules": op2_rules}
+ORACLE_SQL: dict[str, str] = {"op2_rules": OP2_SQL}
