@@ -117,7 +117,7 @@ def _sql() -> str:
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 a AS (SELECT r, doc_id, text, regexp_extract_all(text, '{word}') AS w,
-  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{char}')) AS l FROM t),
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{char}')) AS l FROM t),
 p AS (SELECT r, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS i FROM a WHERE len(w) > 4),
 g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i+1], w[i+2], w[i+3], w[i+4]) AS c FROM p),
 q AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM g, range(5) o(k) WHERE c > 1 GROUP BY r),
@@ -125,7 +125,7 @@ m AS (SELECT a.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text,
   length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines,
   length(regexp_replace(text, '[^0-9]+', '', 'g'))::BIGINT AS n_digits,
-  len(list_filter(range(1, len(w)), k -> w[k] = w[k+1]))::BIGINT AS n_stutter FROM a LEFT JOIN q USING (r)),
+  len(list_filter(range(1, len(w)), lambda k: w[k] = w[k+1]))::BIGINT AS n_stutter FROM a LEFT JOIN q USING (r)),
 b AS (SELECT *, ({bits})::BIGINT AS mask FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (mask & {policy_mask("base")}) <> 0 AS base_failed, (mask & {policy_mask()}) = 0 AS kept, mask FROM b"""
