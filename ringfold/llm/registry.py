@@ -5,7 +5,9 @@ from __future__ import annotations
 from ringfold.llm.op1_mix import op1_mix
 from ringfold.llm.op2_rules import SQL as OP2_SQL
 from ringfold.llm.op2_rules import op2_rules
+from ringfold.llm.op5_chat import SQL as OP5_SQL
+from ringfold.llm.op5_chat import op5_chat
 from ringfold.llm.op8_language import op8_language
 
-QUERIES = {"op1_mix": op1_mix, "op2_rules": op2_rules, "op8_language": op8_language}
-ORACLE_SQL: dict[str, str] = {"op2_rules": OP2_SQL}
+QUERIES = {"op1_mix": op1_mix, "op2_rules": op2_rules, "op5_chat": op5_chat, "op8_language": op8_language}
+ORACLE_SQL: dict[str, str] = {"op2_rules": OP2_SQL, "op5_chat": OP5_SQL}
