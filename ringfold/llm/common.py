@@ -26,8 +26,8 @@ def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str, batch_bytes: int = 16 << 20) -> DataFrame:
-    """mapInArrow with a generator over row tuples; output leaves in batches of bounded bytes.
+def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """mapInArrow with a generator over row tuples; output leaves in batches of 500 rows.
 
     fn gets an iterator over the input rows of one task and yields output tuples.
     """
@@ -52,6 +52,22 @@ def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], sc
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, column: str, keep: Callable[[], Callable[[object], bool]]) -> DataFrame:
+    """The rows of df whose value in `column` passes; whole Arrow batches stay as they are otherwise.
+
+    keep() is called once a task and returns the test.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = keep()
+        for batch in batches:
+            yield batch.filter(pa.array([test(v) for v in batch.column(at).to_pylist()], type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import map_rows, table, utf8
+from ringfold.llm.common import filter_rows, map_rows, table, utf8
 
 THRESHOLD = 0.6
 QUESTION, ANSWER = 0.7, 0.5
@@ -195,6 +195,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found if found is not None else spark.createDataFrame([], schema)
 
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs without the documents that hold a verified match: one pass over the texts a shard, no shuffle."""
+    for index in shards(benchmark):
+        docs = filter_rows(docs, "text", _Clean(docs.sparkSession.sparkContext.broadcast(index)))
+    return docs
+
+
+class _Clean:
+    def __init__(self, index) -> None:
+        self.index = index
+
+    def __call__(self):
+        index = self.index.value
+        return lambda text: not index.matches(text)
+
+
 class _Matcher:
     def __init__(self, index) -> None:
         self.index = index

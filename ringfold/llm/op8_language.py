@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import map_rows, table, utf8
+from ringfold.llm.common import filter_rows, map_rows, table, utf8
 
 SAMPLE = 2000
 BITS = 12
@@ -188,7 +188,21 @@ def identify(docs: DataFrame, model: Hierarchy | None, keep: tuple[str, ...] = (
             yield (*rest, *predict(text))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return map_rows(docs.select("text", *keep), run, f"{schema}, lang_pred string, score double")
+    return map_rows(docs.select(F.col("text").alias("__text"), *keep), run, f"{schema}, lang_pred string, score double")
+
+
+def recognised(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
+    """docs without the documents that are rejected: those predicted `und`."""
+    return filter_rows(docs, "text", _Recognised(model))
+
+
+class _Recognised:
+    def __init__(self, model: Hierarchy | None) -> None:
+        self.model = model
+
+    def __call__(self) -> Callable[[str | None], bool]:
+        predict = predictor(self.model)
+        return lambda text: predict(text)[0] != UND
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
