@@ -73,6 +73,7 @@ def mix(docs: DataFrame, size: Column | None = None, cap: float = CAP, weights:
     aim = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), cap, weights)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     aim = aim.withColumn("whole", F.floor(ratio)).withColumn("rest", (ratio - F.floor(ratio)) * F.col("source_size"))
+    aim = cut(aim, "mix-targets")  # a row a source; read back below instead of being worked out for every join
 
     # c of each source, from at most 64 size classes: the k largest classes that reach probability 1 are a prefix
     level = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")))).otherwise(0)
@@ -85,7 +86,7 @@ def mix(docs: DataFrame, size: Column | None = None, cap: float = CAP, weights:
     classes = classes.withColumn("k", sure).withColumn("c", F.when(open_ > 0, (F.col("rest") - sure) / open_).otherwise(0.0))
     first = F.min(F.when(F.col("c") * F.col("g") <= 1, F.struct("k", "c"))).over(Window.partitionBy("source"))
     odds = classes.withColumn("pick", first).select("source", "class", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("pick.c") * F.col("g"))).alias("p"))
-    odds = same_source(odds, aim)
+    odds = cut(same_source(odds, aim), "mix-odds")
 
     rows = slim.join(odds.withColumnRenamed("source", "s").withColumnRenamed("class", "k"), F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("k"))).drop("s", "k", "class")
     u = uniform(seed, F.col("doc_id"))
@@ -96,10 +97,12 @@ def mix(docs: DataFrame, size: Column | None = None, cap: float = CAP, weights:
 
     drawn = rows.where((F.col("p") > 0) & (F.col("size") > 0))
     cut1 = crossing(drawn.groupBy("source", "b1").agg(F.sum("size").alias("words"), F.first("rest").alias("room")), "b1")
+    cut1 = cut(cut1, "mix-first-cut")
     near = drawn.join(cut1.withColumnRenamed("source", "s").withColumnRenamed("b1", "c1"), F.col("source").eqNullSafe(F.col("s")) & (F.col("b1") == F.col("c1")))
     cut2 = crossing(near.groupBy("source", "b2").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "b2").withColumnRenamed("left", "left2")
     edge = same_source(cut1.withColumnRenamed("b1", "c1"), cut2.withColumnRenamed("b2", "c2"), "left")
-    rows = same_source(rows, edge.select("source", "c1", "c2", "left2"), "left")
+    edge = cut(edge.select("source", "c1", "c2", "left2"), "mix-cuts")
+    rows = same_source(rows, edge, "left")
 
     last = (F.col("p") > 0) & (F.col("size") > 0) & (F.col("b1") == F.col("c1")) & (F.col("b2") == F.col("c2"))
     clear = (F.col("p") > 0) & (F.col("c1").isNull() | (F.col("b1") < F.col("c1")) | ((F.col("b1") == F.col("c1")) & (F.col("b2") < F.col("c2"))))
