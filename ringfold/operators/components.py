@@ -48,3 +48,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def snapshots(edges: DataFrame, most: int = 500) -> DataFrame:
+    """A row a component: size, edge_count (every edge counts), members and transactions (the smallest `most`), first and last seen, entity types.
+
+    edges: source_id, source_type, target_id, target_type, transaction_id, ts_us.
+    """
+    nodes = connected_components(edges, "source_id", "target_id")
+    ends = edges.select(F.explode(F.array(F.struct(F.col("source_id").alias("node"), F.col("source_type").alias("type")), F.struct(F.col("target_id").alias("node"), F.col("target_type").alias("type")))).alias("x")).select("x.*").distinct()
+    members = ends.join(nodes, "node").groupBy("component").agg(F.countDistinct("node").alias("size"), smallest("node", most).alias("member_ids"), F.array_sort(F.collect_set("type")).alias("entity_types"))
+    with_part = edges.join(nodes, edges.source_id == nodes.node).groupBy("component").agg(F.count("*").alias("edge_count"), smallest("transaction_id", most).alias("transaction_ids"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
+    return members.join(with_part, "component").withColumnRenamed("component", "component_id")
+
+
+def smallest(column: str, most: int):
+    """The `most` smallest distinct values, sorted. Values past the cap are dropped while collecting only where Spark can; see README."""
+    return F.slice(F.array_sort(F.collect_set(column)), 1, most)
