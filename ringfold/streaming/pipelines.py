@@ -26,6 +26,7 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 def keyed(rows: DataFrame, key: str, processor, schema) -> DataFrame:
     """rows through a processor, stream or batch alike."""
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows.sparkSession.streams.active  # starts the coordinator of state stores, which a batch run needs too
     return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
