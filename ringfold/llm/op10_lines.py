@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import BLANKS, WORD, table
+from ringfold.llm.common import BLANKS, WORD, fresh, table
 from ringfold.plans.shared import cut
 
 MIN_WORDS = 25
@@ -73,20 +73,24 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """docs with `text` cleaned, and two columns more: __lines and __removed, the lines there were and those removed."""
-    gone = repeats(docs, least).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "gone")
-    joined = docs.withColumnRenamed("text", "__text").join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("__text") == F.col("__th")), "left")
-    lines = F.split(F.col("__text"), "\n", -1)
-    removed = F.filter(F.col("gone"), lambda i: F.regexp_like(F.element_at(lines, i + 1), F.lit(WORD)))
+    """docs with `text` cleaned, and as the last two columns the lines there were and those removed."""
+    old, id_, th, lost = (fresh(docs, f"__{n}") for n in ("text", "id", "th", "gone"))
+    gone = repeats(docs.select("doc_id", "text"), least).toDF(id_, th, lost)
+    d = docs.withColumnRenamed("text", old)
+    joined = d.join(gone, d["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(old) == F.col(th)), "left")
+    lines = F.split(F.col(old), "\n", -1)
+    removed = F.filter(F.col(lost), lambda i: F.regexp_like(F.element_at(lines, i + 1), F.lit(WORD)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
-    text = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("__lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size(removed)).cast("long").alias("__removed"))
+    text = F.when(F.col(lost).isNull(), F.col(old)).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
+    n_lines = F.when(F.col(old).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_removed = F.when(F.col(lost).isNull(), 0).otherwise(F.size(removed)).cast("long")
+    return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], n_lines.alias(fresh(docs, "__lines")), n_removed.alias(fresh(docs, "__removed")))
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed and the cleaned text of every document."""
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("__lines")).cast("long").alias("n_lines"), F.col("__removed").alias("n_removed"), "text")
+    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), "text")
 
 
 SQL = rf"""
