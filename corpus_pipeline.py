@@ -29,7 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines are removed; a document with no word left goes."""
-    out = dedup_lines(docs).where((F.col("__removed") == 0) | F.regexp_like("text", F.lit(WORD)))
+    out = dedup_lines(docs)
+    out = out.where((F.col(f"`{out.columns[-1]}`") == 0) | F.regexp_like("text", F.lit(WORD)))
     fix = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
     return out.withColumns(fix).select(*[F.col(f"`{c}`") for c in docs.columns])
 
