@@ -5,21 +5,30 @@ Components in MapReduce and Beyond", 2014) turn any edge list into stars whose
 centre is the smallest node of the component, in O(log^2 n) rounds. A round is
 two aggregations with map-side minima and two joins; the edges of each round
 are a table in the shared folder, so no lineage piles up and a lost executor
-costs the tasks it ran.
+costs the tasks it ran. A graph counted to be small is finished by one task instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringfold.plans.shared import cut, drop_table
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
+#: Distinct edges up to which one task finishes the graph with a union-find: a counted bound, some MB of memory.
+SMALL = 100_000
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60, small: int = SMALL) -> DataFrame:
     """(node, component) for each node of the edges; the component is its smallest node.
 
     Edges may repeat and may be self-loops; edges with a null end are ignored.
+    The distinct edges are counted first: up to `small` of them are merged in one
+    task, beyond it the rounds below run. Both give the same components.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
     nodes = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "cc-nodes")
@@ -29,6 +38,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break
+        if now[0] <= small:
+            stars = stars.coalesce(1).mapInArrow(_union_find, stars.schema)
+            break
         before, old = now, stars
         stars = cut(_small_star(_large_star(stars)), "cc-edges")
         drop_table(old)
@@ -36,6 +48,27 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
     return nodes.join(centre, nodes.node == centre.u, "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, smallest node of its component) for all nodes but the smallest ones, from all edges of a small graph."""
+    parent: dict = {}
+
+    def find(x):
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for u, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            x, y = find(u), find(v)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    if schema is not None:
+        rows = [(x, find(x)) for x in parent if find(x) != x]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest of itself and its neighbours."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -93,16 +93,18 @@ def brute_components(pairs):
 
 
 @pytest.mark.parametrize("pairs", [[("a", "a")], [("a", "b"), ("b", "c"), ("x", "y")], [(f"n{i:04}", f"n{i + 1:04}") for i in range(150)], [("a", "b"), ("b", "a"), ("c", "c")]])
-def test_components(spark, pairs):
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string")).collect()}
+@pytest.mark.parametrize("small", [0, components.SMALL])
+def test_components(spark, pairs, small):
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string"), small=small).collect()}
     assert got == brute_components(pairs)
 
 
 def test_components_of_random_graphs(spark):
     rng = random.Random(5)
     pairs = [(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(g), rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(g)) for g in range(20) for _ in range(rng.randint(1, 20))]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string")).collect()}
-    assert got == brute_components(pairs)
+    for small in (0, 50, components.SMALL):
+        got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string"), small=small).collect()}
+        assert got == brute_components(pairs)
 
 
 def test_components_of_nothing(spark):
