@@ -31,6 +31,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -107,14 +108,12 @@ def battery(x: Column, size: Column) -> Column:
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
     # equal cells of the alphabet, so many that five characters or more are expected in each, four at least
     cells = F.least(size, F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(4.0), n / 5)))))
-    cell = F.transform(x, lambda v: F.floor(v * cells / size))
-    counts = F.transform(F.array_distinct(cell), lambda c: F.size(F.filter(cell, lambda y: y == c)).cast("double"))
+    squares = lambda cell: total(F.transform(F.array_distinct(cell), lambda c: F.pow(F.size(F.filter(cell, lambda y: y == c)).cast("double"), 2)))
     df = cells - 1
-    chi = total(F.transform(counts, lambda c: c * c)) * cells / n - n
+    chi = let(F.transform(x, lambda v: F.floor(v * cells / size)), squares) * cells / n - n
     z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    high = F.transform(x, lambda v: (v * 2 >= size).cast("double"))
     pairs = lambda a: F.zip_with(F.slice(a, 1, F.size(a) - 1), F.slice(a, 2, F.size(a) - 1), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-    runs = 1 + total(F.transform(pairs(high), lambda s: (s["p"] != s["q"]).cast("double")))
+    runs = 1 + total(F.transform(pairs(x), lambda s: ((s["p"] * 2 >= size) != (s["q"] * 2 >= size)).cast("double")))
     z_runs = (runs - (1 + (n - 1) / 2)) / (F.sqrt(n - 1) / 2)
     mean, var = (size - 1) / 2, (size * size - 1) / 12
     serial = total(F.transform(pairs(x), lambda s: (s["p"] - mean) * (s["q"] - mean))) / var
@@ -142,10 +141,20 @@ def placed(found: Column, k: int, kind: str) -> Column:
     return F.transform(found, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), F.lit(kind).alias("kind"), x["e"].alias("e")))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def scored(x: Column) -> Column:
-    code = encoding(x["m"])
-    size = reduce(lambda acc, kv: F.when(code == kv[0], F.lit(float(len(kv[1])))).otherwise(acc), ALPHABETS.items(), F.lit(None).cast("double"))
-    return F.struct(x["s"].alias("s"), x["e"].alias("e"), code.alias("code"), F.floor(F.log2(F.length(x["m"]).cast("double"))).alias("class"), battery(numbers(x["m"], code), size).alias("p"))
+    """struct(s, e, code, class, p) of a candidate struct(s, e, m)."""
+
+    def coded(code: Column) -> Column:
+        size = reduce(lambda acc, kv: F.when(code == kv[0], F.lit(float(len(kv[1])))).otherwise(acc), ALPHABETS.items(), F.lit(None).cast("double"))
+        p = let(F.struct(numbers(x["m"], code).alias("x"), size.alias("size")), lambda v: battery(v["x"], v["size"]))
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), code.alias("code"), F.floor(F.log2(F.length(x["m"]).cast("double"))).alias("class"), p.alias("p"))
+
+    return let(encoding(x["m"]), coded)
 
 
 def thresholds(cells: DataFrame, fdr: float = FDR) -> DataFrame:
