@@ -96,5 +96,5 @@ def snapshots(edges: DataFrame, most: int = 500) -> DataFrame:
 
 
 def smallest(column: str, most: int):
-    """The `most` smallest distinct values, sorted. Values past the cap are dropped while collecting only where Spark can; see README."""
+    """The `most` smallest distinct values, sorted; README says what that holds in memory."""
     return F.slice(F.array_sort(F.collect_set(column)), 1, most)
