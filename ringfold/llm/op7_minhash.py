@@ -20,10 +20,10 @@ have 100 * |intersection| >= 85 * |union|. Components of links are the groups.
    of size dropped, the rest confirmed on their full sets.
 5. Lists that still hold several components are settled exactly. A shingle that no
    other document of those lists has can be in no intersection; the count of the
-   others, r, bounds every overlap. Pairs of different components with
-   min(r) >= 0.85 / 1.85 * (n + n') and positions that leave room for 40
-   collisions are counted and confirmed likewise. In a cloud of edited copies
-   that leaves almost none: a copy too far from the hub has too many words of its own.
+   others, r, bounds every overlap. The lists are merged in blocks of bounded size; pairs of
+   different components with min(r) >= 0.85 / 1.85 * (n + n') and MATCHES collisions
+   leave the merge, once each, and are confirmed likewise. The merge compares members of
+   a list, but only those not yet in one component, and puts out no others.
 
 Edge cases: null text or text without words has n_shingles 0, is linked with
 nothing and kept; fewer than five words are one shingle; rows that repeat a
@@ -37,6 +37,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,7 @@ PERCENT = 85
 K, MATCHES = 64, 40
 PREFIX = K - MATCHES + 1
 CHUNK = 2048
+BLOCK = 4096
 
 _RNG = np.random.default_rng(20250101)
 _FACTORS = (_RNG.integers(0, 1 << 63, size=K, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -195,15 +197,50 @@ def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.join(shared, "s", "left_semi").groupBy("rep").agg(F.count("*").alias("r"))
 
 
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _merged(block: pa.Table) -> pa.Table:
+    """The pairs of one posting list, or of two blocks of a long one, that can still be linked.
+
+    A pair is given by the smallest value that both prefixes have, so it comes once.
+    """
+    c = {name: block.column(name).to_numpy() for name in ("key", "rep", "n", "r", "part", "side")}
+    sigs = np.array(block.column("sig").to_pylist(), dtype=np.int32).reshape(-1, K)
+    prefixes = block.column("prefix").to_pylist()
+    two = bool(c["side"].max() != c["side"].min())
+    key, out = int(c["key"][0]), ([], [])
+    for i in range(len(sigs)):
+        other = np.arange(i + 1, len(sigs)) if not two else np.flatnonzero(c["side"] > c["side"][i])
+        low, n, m = np.minimum(c["r"][other], c["r"][i]), c["n"][other], c["n"][i]
+        fits = (c["part"][other] != c["part"][i]) & ((100 + PERCENT) * low >= PERCENT * (n + m)) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+        other = other[fits]
+        other = other[(sigs[other] == sigs[i]).sum(axis=1) >= MATCHES]
+        mine = set(prefixes[i])
+        for j in other.tolist():
+            if min(mine.intersection(prefixes[j])) == key:
+                x, y = int(c["rep"][i]), int(c["rep"][j])
+                out[0].append(min(x, y))
+                out[1].append(max(x, y))
+    return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in out], schema=_PAIRS)
+
+
 def across(placed: DataFrame, support: DataFrame, met: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of different components that can still be linked, counted; pairs already met are left out."""
-    rows = placed.join(support, "rep").where(100 * F.col("r") >= PERCENT * F.col("n"))
-    a, b = (rows.select("key", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("r").alias(f"r{x}"), F.col("pos").alias(f"p{x}"), F.col("part").alias(f"c{x}")) for x in "ab")
-    room = (100 + PERCENT) * F.least("ra", "rb") >= PERCENT * (F.col("na") + F.col("nb"))
-    fits = room & (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (K - F.greatest("pa", "pb") >= MATCHES)
-    pairs = a.join(b, (a.key == b.key) & fits).select("a", "b").distinct()
+    """Pairs of different components that can still be linked; pairs already met are left out.
+
+    Posting lists are merged in blocks of about BLOCK documents: a short list is one task's
+    group, a long one as many groups as it has pairs of blocks. Only pairs with enough
+    collisions leave a group.
+    """
+    rows = placed.join(support, "rep").where(100 * F.col("r") >= PERCENT * F.col("n")).join(sigs.select("rep", "sig"), "rep")
+    rows = rows.join(placed.groupBy("rep").agg(F.collect_set("key").alias("prefix")), "rep")
+    lists = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
+    rows = rows.join(lists, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.select("key", "rep", "n", "r", "part", "side", "sig", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    rows = rows.withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")})
+    pairs = rows.groupBy("key", "lo", "hi").applyInArrow(_merged, "a long, b long")
     known = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return collide(pairs.join(known, ["a", "b"], "left_anti"), sigs)
+    return pairs.join(known, ["a", "b"], "left_anti")
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
