@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringfold.llm.common import map_rows, table
+from ringfold.plans.shared import cut
 
 RUN = 16
 PAGES = 128
@@ -149,7 +150,8 @@ def repeated(streams: list[list[str]], pages: list[int], run: int = RUN) -> list
     depth = 1
     while depth < run:
         step = min(depth, run - depth)
-        later = np.concatenate([rank[step:], np.full(step, -1)]) + 1
+        later = np.zeros(total, dtype=np.int64)
+        later[: max(0, total - step)] = rank[step:] + 1
         _, rank = np.unique(rank * np.int64(total + 1) + later, return_inverse=True)
         depth += step
     suffixes = np.lexsort((page, rank))  # the suffix array to depth `run`, pages in order among equals
@@ -198,8 +200,8 @@ def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars, n_tokens, n_repeated for each row of pages (page_id, url, html)."""
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host)
-    # a row a host; Spark sends it to all executors only if its size at run time allows
-    shards = p.groupBy("host").agg(F.ceil(F.count("*") / per_shard).alias("shards")).withColumnRenamed("host", "h")
+    # a row a host; as a table of known size it is sent to all executors only if it is small, and then the html needs no shuffle here
+    shards = cut(p.groupBy("host").agg(F.ceil(F.count("*") / per_shard).alias("shards")).withColumnRenamed("host", "h"), "html-hosts")
     p = p.join(shards, F.col("host") == F.col("h")).withColumn("shard", F.pmod(F.xxhash64("page_id"), F.col("shards")))
     parsed = map_rows(p.select("page_id", "url", "host", "shard", "html"), _parsed, "page_id long, url string, host string, shard long, texts array<string>, inside array<int>")
     return parsed.groupBy("host", "shard").applyInArrow(_cleaned, _OUT)
