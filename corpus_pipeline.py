@@ -21,6 +21,9 @@ from ringfold.llm.op8_language import fit, recognised, training_rows
 from ringfold.llm.op10_lines import dedup_lines
 from ringfold.plans.shared import cut
 
+#: Percent of five-word shingles that near copies share at least; the 85 of op7_minhash is that query's alone.
+NEAR = 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language the model has learned; those predicted `und` go."""
@@ -36,8 +39,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    """One document of each group of near copies (NEAR percent of shingles or more) stays: the one with the smallest doc_id."""
+    gone = near_duplicates(docs, NEAR).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -1,14 +1,16 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
 Two documents are linked if their sets of five-word shingles (lower-cased A-Z, whole texts)
-have 100 * |intersection| >= 85 * |union|. Components of links are the groups.
+have 100 * |intersection| >= percent * |union|. Components of links are the groups. The query's
+contract is 85 percent (PERCENT); other callers of near_duplicates() give their own, and the figures
+below, which are those of 85, follow from it.
 
 1. One pass over the texts gives each document the size and a digest of its set,
    and a signature of K = 64 minima. Equal digests form a class; from here on
    the smallest doc_id stands for its class, so copies are never paired.
-2. A link is looked for among pairs whose signatures agree in MATCHES = 40 or more
+2. A link is looked for among pairs whose signatures agree in matches(85) = 40 or more
    of 64 coordinates; a pair at the threshold has fewer with a probability below
-   one in 100,000. Of 25 bands of two or three coordinates at least one then
+   one in 250,000 (MISS). Of 25 bands of two or three coordinates at least one then
    agrees entirely (24 misses cannot touch all), so only documents that share a
    band, the contested ones, are posted at all.
 3. Contested documents are posted under every (coordinate, value). Postings are
@@ -16,12 +18,12 @@ have 100 * |intersection| >= 85 * |union|. Components of links are the groups.
    first 25 of each (prefix merging). Values that nobody shares are skipped.
 4. In each posting list the document with the most common signature is the hub.
    Each document meets the hubs of its prefix: at most 25 pairs a document,
-   however large the group. Collisions are counted, pairs under MATCHES or out
+   however large the group. Collisions are counted, pairs under 40 or out
    of size dropped, the rest confirmed on their full sets.
 5. Lists that still hold several components are settled exactly. A shingle that no
    other document of those lists has can be in no intersection; the count of the
    others, r, bounds every overlap. The lists are merged in blocks of bounded size; pairs of
-   different components with min(r) >= 0.85 / 1.85 * (n + n') and MATCHES collisions
+   different components with min(r) >= 0.85 / 1.85 * (n + n') and 40 collisions
    leave the merge, once each, and are confirmed likewise. The merge compares members of
    a list, but only those not yet in one component, and puts out no others.
 
@@ -35,6 +37,7 @@ further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +51,8 @@ from ringfold.plans.shared import cut
 
 SHINGLE = 5
 PERCENT = 85
-K, MATCHES = 64, 40
-PREFIX = K - MATCHES + 1
+K = 64
+MISS = 4e-6
 CHUNK = 2048
 BLOCK = 4096
 
@@ -57,6 +60,14 @@ _RNG = np.random.default_rng(20250101)
 _FACTORS = (_RNG.integers(0, 1 << 63, size=K, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
+def matches(percent: int) -> int:
+    """The most coordinates of K that a pair at `percent` has in common with a probability of 1 - MISS or more."""
+    p, fewer, m = percent / 100, 0.0, 0
+    while m < K and (fewer := fewer + comb(K, m) * p**m * (1 - p) ** (K - m)) <= MISS:
+        m += 1
+    return m
+
+
 class WordHash(dict):
     """64-bit hashes by word, kept for as many words as memory is meant for."""
 
@@ -101,14 +112,14 @@ def shingles(text: str) -> set:
     return set(zip(*(words[i:] for i in range(min(SHINGLE, len(words)))), strict=False)) if words else set()
 
 
-def _confirmed(rows: Iterable[tuple]) -> Iterator[tuple]:
+def _confirmed(rows: Iterable[tuple], percent: int) -> Iterator[tuple]:
     last, held = None, set()
     for a, b, ta, tb in rows:
         if tb is not last:
             last, held = tb, shingles(tb)
         other = shingles(ta)
         both = len(held & other)
-        if both and 100 * both >= PERCENT * (len(held) + len(other) - both):
+        if both and 100 * both >= percent * (len(held) + len(other) - both):
             yield a, b
 
 
@@ -118,20 +129,26 @@ def _spelled(rows: Iterable[tuple]) -> Iterator[tuple]:
         yield rep, shingle_hashes(text, cache).view(np.int64).tolist()
 
 
-def bands() -> list[tuple[int, int]]:
-    """(first coordinate from 1, length) of PREFIX bands that divide the K coordinates."""
-    edges = [round(K * i / PREFIX) for i in range(PREFIX + 1)]
+def prefix_length(percent: int) -> int:
+    """Two documents with matches(percent) collisions share one of so many rarest coordinates of each."""
+    return K - matches(percent) + 1
+
+
+def bands(percent: int) -> list[tuple[int, int]]:
+    """(first coordinate from 1, length) of the bands that divide the K coordinates, one more than a pair can miss."""
+    n = prefix_length(percent)
+    edges = [round(K * i / n) for i in range(n + 1)]
     return [(a + 1, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(map_rows(docs, _signed, "doc_id long, n_shingles long, digest binary, sig array<int>"), "minhash-signed")
     # copies meet here before any pairing; the minimum combines on the map side
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "minhash-classes")
-    links = cut(find_links(docs, classes), "minhash-links")
+    links = cut(find_links(docs, classes, percent), "minhash-links")
     # a class is a node by its representative; rows that repeat a doc_id tie their classes together
     tied = named.select("digest", "doc_id").distinct().groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 <> d2").select("doc_id")
     ties = named.join(tied, "doc_id", "left_semi").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -142,51 +159,51 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def find_links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b) pairs of representatives whose components are those of all links."""
-    keys = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", at, n)) for i, (at, n) in enumerate(bands())])
+    keys = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", at, n)) for i, (at, n) in enumerate(bands(percent))])
     posts = classes.select("rep", F.explode(keys).alias("band"))
     shared = posts.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
     contested = posts.join(shared, "band", "left_semi").select("rep").distinct()
     sigs = cut(classes.join(contested, "rep", "left_semi").select("rep", "n", "sig"), "minhash-contested")
     texts = cut(docs.withColumnRenamed("doc_id", "rep").join(sigs.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "text"]), "minhash-texts")
 
-    prefix = cut(prefix_postings(sigs), "minhash-prefix")
+    prefix = cut(prefix_postings(sigs, prefix_length(percent)), "minhash-prefix")
     hub = prefix.groupBy("key").agg(F.max(F.struct("common", F.negative("rep").alias("m"))).alias("h"), F.count("*").alias("c")).where("c > 1").select("key", (-F.col("h.m")).alias("b"))
     met = prefix.join(hub, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    first = cut(confirm(collide(met, sigs), texts), "minhash-first")
+    first = cut(confirm(collide(met, sigs, percent), texts, percent), "minhash-first")
 
     parts = connected_components(first)
     placed = prefix.join(parts, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
     open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
     placed = cut(placed.join(open_keys, "key", "left_semi"), "minhash-open")
-    left = across(placed, supported(placed.select("rep").distinct(), texts), met, sigs)
-    return first.unionByName(confirm(left, texts))
+    left = across(placed, supported(placed.select("rep").distinct(), texts), met, sigs, percent)
+    return first.unionByName(confirm(left, texts, percent))
 
 
-def prefix_postings(sigs: DataFrame) -> DataFrame:
-    """key, rep, n, pos, common: each document's PREFIX rarest coordinate values, those that nobody shares skipped."""
+def prefix_postings(sigs: DataFrame, length: int) -> DataFrame:
+    """key, rep, n, pos, common: each document's `length` rarest coordinate values, those that nobody shares skipped."""
     posts = sigs.select("rep", "n", F.posexplode("sig").alias("at", "value")).select("rep", "n", F.xxhash64("at", "value").alias("key"))
     times = posts.groupBy("key").agg(F.count("*").alias("times"))
     each = posts.join(times, "key").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("times", "key"))).alias("p"))
     common = F.aggregate("p", F.lit(0.0), lambda acc, x: acc + F.log2(x["times"].cast("double")))
-    rows = each.select("rep", "n", common.alias("common"), F.posexplode(F.slice("p", 1, PREFIX)).alias("pos", "x"))
+    rows = each.select("rep", "n", common.alias("common"), F.posexplode(F.slice("p", 1, length)).alias("pos", "x"))
     return rows.where("x.times > 1").select(F.col("x.key").alias("key"), "rep", "n", "pos", "common")
 
 
-def collide(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """The pairs (a, b) with MATCHES equal coordinates or more and sizes that allow the threshold."""
+def collide(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with matches(percent) equal coordinates or more and sizes that allow the threshold."""
     one = sigs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     two = sigs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
     same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x)
-    both = pairs.join(one, "a").join(two, "b").where((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (same >= MATCHES))
+    both = pairs.join(one, "a").join(two, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (same >= matches(percent)))
     return both.select("a", "b").distinct()
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
     a, b = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-    return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb"), _confirmed, "a long, b long").distinct()
+    return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb"), lambda rows: _confirmed(rows, percent), "a long, b long").distinct()
 
 
 def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -200,7 +217,7 @@ def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _merged(block: pa.Table) -> pa.Table:
+def _merged(block: pa.Table, percent: int) -> pa.Table:
     """The pairs of one posting list, or of two blocks of a long one, that can still be linked.
 
     A pair is given by the smallest value that both prefixes have, so it comes once.
@@ -209,13 +226,13 @@ def _merged(block: pa.Table) -> pa.Table:
     sigs = np.array(block.column("sig").to_pylist(), dtype=np.int32).reshape(-1, K)
     prefixes = block.column("prefix").to_pylist()
     two = bool(c["side"].max() != c["side"].min())
-    key, out = int(c["key"][0]), ([], [])
+    key, least, out = int(c["key"][0]), matches(percent), ([], [])
     for i in range(len(sigs)):
         other = np.arange(i + 1, len(sigs)) if not two else np.flatnonzero(c["side"] > c["side"][i])
         low, n, m = np.minimum(c["r"][other], c["r"][i]), c["n"][other], c["n"][i]
-        fits = (c["part"][other] != c["part"][i]) & ((100 + PERCENT) * low >= PERCENT * (n + m)) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+        fits = (c["part"][other] != c["part"][i]) & ((100 + percent) * low >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
         other = other[fits]
-        other = other[(sigs[other] == sigs[i]).sum(axis=1) >= MATCHES]
+        other = other[(sigs[other] == sigs[i]).sum(axis=1) >= least]
         mine = set(prefixes[i])
         for j in other.tolist():
             if min(mine.intersection(prefixes[j])) == key:
@@ -225,20 +242,20 @@ def _merged(block: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in out], schema=_PAIRS)
 
 
-def across(placed: DataFrame, support: DataFrame, met: DataFrame, sigs: DataFrame) -> DataFrame:
+def across(placed: DataFrame, support: DataFrame, met: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that can still be linked; pairs already met are left out.
 
     Posting lists are merged in blocks of about BLOCK documents: a short list is one task's
     group, a long one as many groups as it has pairs of blocks. Only pairs with enough
     collisions leave a group.
     """
-    rows = placed.join(support, "rep").where(100 * F.col("r") >= PERCENT * F.col("n")).join(sigs.select("rep", "sig"), "rep")
+    rows = placed.join(support, "rep").where(100 * F.col("r") >= percent * F.col("n")).join(sigs.select("rep", "sig"), "rep")
     rows = rows.join(placed.groupBy("rep").agg(F.collect_set("key").alias("prefix")), "rep")
     lists = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
     rows = rows.join(lists, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     rows = rows.select("key", "rep", "n", "r", "part", "side", "sig", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     rows = rows.withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")})
-    pairs = rows.groupBy("key", "lo", "hi").applyInArrow(_merged, "a long, b long")
+    pairs = rows.groupBy("key", "lo", "hi").applyInArrow(lambda block: _merged(block, percent), "a long, b long")
     known = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(known, ["a", "b"], "left_anti")
 

@@ -75,3 +75,20 @@ def test_near_dedup_keeps_one_of_each_group(spark, folder):
     parts = groups([(r[0], r[1]) for r in rows])
     assert {r.doc_id for r in out.collect()} == {d for d, p in parts.items() if d == p}
     assert op7_minhash.PERCENT == 85
+
+
+def test_near_dedup_removes_copies_between_80_and_85(spark):
+    """Each copy shares 0.80 to 0.85 of its shingles with the original, so a threshold of 85 keeps it."""
+    rng = random.Random(22)
+    rows = []
+    for i in range(40):
+        w = prose(rng, 100).split()
+        rows.append((2 * i, " ".join(w)))
+        w[33] = w[66] = "edited"
+        rows.append((2 * i + 1, " ".join(w)))
+        a, b = (op7_minhash.shingles(t) for _, t in rows[-2:])
+        assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {2 * i for i in range(40)}
+    assert all(r.kept for r in op7_minhash.near_duplicates(docs).collect())
+    assert (op7_minhash.matches(85), op7_minhash.matches(80)) == (40, 35)
