@@ -1,4 +1,4 @@
-"""Main text of web pages: block structure, and a suffix array over each host's pages.
+"""Main text of web pages: block structure, and the runs that repeat over each whole host.
 
 Parsing. One pass over the tags keeps a stack of open elements. Elements that are never
 main text (navigation, footers, forms, scripts, ...) and elements whose class, id
@@ -6,16 +6,17 @@ or role names them as such (adverts, notices, comments, ...) are left out. The r
 becomes blocks: white space within one is a single space, character references are decoded.
 A page with an article or main element has its text there.
 
-Host suffix array. The pages of a host are dealt into shards of about PAGES pages. In a
-shard the token streams of all blocks are concatenated, with a separator of its own after each
-page, and suffixes are sorted to a depth of RUN tokens by prefix doubling. Neighbours in the suffix array that agree
-to that depth are substrings of RUN tokens or more; those that stand in two or more
-distinct pages are repeated runs. Text outside an article element (all text of a page
-that has none) loses the tokens that repeated runs cover and keeps its unique runs.
+Host runs. A run is RUN tokens of a page's token stream, all blocks one after another. It is
+repeated if it stands, anywhere on its host, in two or more page_ids and in two or more different streams: pages
+of one and the same stream count as one page, so identical pages keep what one of them would. Text outside an article element
+(all text of a page that has none) loses the tokens that repeated runs cover and keeps its unique runs.
 The text of an article element is kept whole whatever repeats, as the contract of the query asks for;
 `n_repeated` counts the tokens of the page that repeated runs cover.
 
-A shard is a bounded group, so a host with a third of all pages is many tasks.
+Equal runs have the same anchor, the smallest hash of their GRAM-token parts, so only about one hash in five tokens is posted
+first; its smallest and largest page and stream combine on the map side. Only runs whose anchor is
+shared are posted in turn, by 128 bits of hash with the anchor. What comes back to a stream is the set of its own
+runs that repeat. No step holds more than one page, however large a host is.
 
 Edge cases: null or empty html gives empty text; a null url is a host of its own; unclosed
 elements and tags end with the page; repeated rows are distinct pages only if their page_id differs;
@@ -29,15 +30,16 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import map_rows, table
+from ringfold.llm.common import map_rows, table, utf8
+from ringfold.llm.op7_minhash import WordHash
 from ringfold.plans.shared import cut
 
 RUN = 16
-PAGES = 128
+GRAM = 8
 
 # Elements by their part in a page.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
@@ -166,45 +168,91 @@ def repeated(streams: list[list[str]], pages: list[int], run: int = RUN) -> list
     return [covered[a : a + len(s)] for a, s in zip(starts, streams, strict=True)]
 
 
+def mixed(h: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """64-bit hashes of each `size` neighbours of h."""
+    n = len(h) - size + 1
+    out = np.full(n, seed, dtype=np.uint64)
+    for k in range(size):
+        out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def runs(host: str, texts: list[str], cache: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, hash) of each run of RUN tokens of a page, in order."""
+    words = [w for t in texts for w in utf8(t).split(b" ")]
+    if len(words) < RUN:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    h = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+    seed = xxhash.xxh3_64_intdigest(utf8(host))
+    parts = np.lib.stride_tricks.sliding_window_view(mixed(h, GRAM, seed), RUN - GRAM + 1)
+    return parts.min(axis=1).view(np.int64), mixed(h, RUN, seed ^ 0x5BD1E995).view(np.int64)
+
+
 def _parsed(rows: Iterable[tuple]) -> Iterator[tuple]:
-    for page_id, url, host, shard, html in rows:
+    for page_id, url, host, html in rows:
         found = blocks(html)
-        yield page_id, url, host, shard, [x for _, x in found], [int(i) for i, _ in found]
+        texts = [x for _, x in found]
+        d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(utf8(host + "\0" + " ".join(texts))), dtype=np.int64).tolist()
+        yield page_id, url, host, d1, d2, texts, [int(i) for i, _ in found]
+
+
+def _anchored(rows: Iterable[tuple]) -> Iterator[tuple]:
+    cache = WordHash()
+    for page, d1, d2, host, texts in rows:
+        yield page, d1, d2, np.unique(runs(host, texts, cache)[0]).tolist()
+
+
+def _shared(rows: Iterable[tuple]) -> Iterator[tuple]:
+    cache = WordHash()
+    for page, d1, d2, host, texts, shared in rows:
+        a, w = runs(host, texts, cache)
+        both = np.unique(np.stack([a, w])[:, np.isin(a, shared)], axis=1)
+        yield page, d1, d2, both[0].tolist(), both[1].tolist()
 
 
 _OUT = "page_id long, url string, text string, n_chars long, n_tokens long, n_repeated long"
-_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_tokens", pa.int64()), ("n_repeated", pa.int64())])
-
-
-def _cleaned(shard: pa.Table) -> pa.Table:
-    rows = shard.select(["page_id", "url", "texts", "inside"]).to_pylist()
-    number: dict = {}
-    pages = [number.setdefault(r["page_id"], len(number)) for r in rows]
-    words = [[x.split(" ") for x in r["texts"]] for r in rows]
-    masks = repeated([[w for b in bs for w in b] for bs in words], pages)
-    out = []
-    for r, bs, mask in zip(rows, words, masks, strict=True):
-        article, at, kept = any(r["inside"]), 0, []
-        for text, inside, b in zip(r["texts"], r["inside"], bs, strict=True):
+
+
+def _cleaned(rows: Iterable[tuple]) -> Iterator[tuple]:
+    cache = WordHash()
+    for page_id, url, host, texts, insides, again in rows:
+        words = [x.split(" ") for x in texts]
+        mask = np.zeros(sum(map(len, words)), dtype=bool)
+        if again:
+            for at in np.flatnonzero(np.isin(runs(host, texts, cache)[1], again)).tolist():
+                mask[at : at + RUN] = True
+        article, at, kept = any(insides), 0, []
+        for text, inside, b in zip(texts, insides, words, strict=True):
             covered, at = mask[at : at + len(b)], at + len(b)
             if inside:
                 kept.append(text)
             elif not article and not covered.all():
                 kept.append(" ".join(w for w, c in zip(b, covered, strict=True) if not c))
         text = "\n".join(kept)
-        out.append((r["page_id"], r["url"], text, len(text), len(mask), int(mask.sum())))
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _ARROW, strict=True)], schema=_ARROW)
+        yield page_id, url, text, len(text), len(mask), int(mask.sum())
+
+
+def in_two_pages(posts: DataFrame, *keys: str) -> DataFrame:
+    """The keys that stand in two or more pages and in two or more streams."""
+    ends = [f(c).alias(f"{n}_{c}") for c in ("page", "d1", "d2") for n, f in (("lo", F.min), ("hi", F.max))]
+    return posts.groupBy(*keys).agg(*ends).where("lo_page < hi_page AND (lo_d1 < hi_d1 OR lo_d2 < hi_d2)").select(*keys)
 
 
-def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
+def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_tokens, n_repeated for each row of pages (page_id, url, html)."""
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host)
-    # a row a host; as a table of known size it is sent to all executors only if it is small, and then the html needs no shuffle here
-    shards = cut(p.groupBy("host").agg(F.ceil(F.count("*") / per_shard).alias("shards")).withColumnRenamed("host", "h"), "html-hosts")
-    p = p.join(shards, F.col("host") == F.col("h")).withColumn("shard", F.pmod(F.xxhash64("page_id"), F.col("shards")))
-    parsed = map_rows(p.select("page_id", "url", "host", "shard", "html"), _parsed, "page_id long, url string, host string, shard long, texts array<string>, inside array<int>")
-    return parsed.groupBy("host", "shard").applyInArrow(_cleaned, _OUT)
+    p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
+    parsed = cut(map_rows(p, _parsed, "page_id long, url string, host string, d1 long, d2 long, texts array<string>, inside array<int>"), "html-parsed")
+    # a null page_id is a page of its own
+    page = F.coalesce("page_id", F.lit(-(2**63))).alias("page")
+    anchors = map_rows(parsed.select(page, "d1", "d2", "host", "texts"), _anchored, "page long, d1 long, d2 long, a array<bigint>")
+    anchors = cut(anchors.select("page", "d1", "d2", F.explode("a").alias("a")), "html-anchors")
+    shared = anchors.join(in_two_pages(anchors, "a"), "a", "left_semi").groupBy("d1", "d2").agg(F.collect_set("a").alias("shared"))
+    posts = map_rows(parsed.join(shared, ["d1", "d2"]).select(page, "d1", "d2", "host", "texts", "shared"), _shared, "page long, d1 long, d2 long, a array<bigint>, w array<bigint>")
+    posts = cut(posts.select("page", "d1", "d2", F.explode(F.arrays_zip("a", "w")).alias("x")).select("page", "d1", "d2", "x.a", "x.w"), "html-runs")
+    again = posts.join(in_two_pages(posts, "a", "w"), ["a", "w"], "left_semi").groupBy("d1", "d2").agg(F.collect_set("w").alias("again"))
+    return map_rows(parsed.join(again, ["d1", "d2"], "left").select("page_id", "url", "host", "texts", "inside", "again"), _cleaned, _OUT)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

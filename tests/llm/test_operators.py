@@ -242,6 +242,20 @@ def test_host_runs_go_from_pages_without_article(spark):
         assert got[i] == html.unescape(re.findall("<div>(.*?)</div>", h)[1])
 
 
+def test_host_runs_are_found_however_large_the_host(spark):
+    """Two of 600 pages share a run; identical pages count as one and keep their text."""
+    rng = random.Random(23)
+    shared, same = prose(rng, 20), f"<p>{prose(rng, 30)} same</p>"
+    rows = [(i, f"http://big/{i}", f"<p>{prose(rng, 20)} own{i}</p>") for i in range(600)]
+    rows[10:12] = [(i, f"http://big/{i}", f"<p>{shared}</p><p>own{i}</p>") for i in (10, 11)]
+    rows += [(700, "http://big/700", same), (701, "http://big/701", same), (702, "http://other/1", f"<p>{shared}</p>")]
+    got = {r.page_id: r for r in op6_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [(got[i].text, got[i].n_repeated) for i in (10, 11)] == [("own10", 20), ("own11", 20)]
+    assert got[700].text == got[701].text == same[3:-4] and got[702].text == shared
+    streams = [re.sub("<[^>]+>", " ", h).split() for i, _, h in rows if i != 702 and i != 701]
+    assert [got[i].n_repeated for i, _, _ in rows if i != 702 and i != 701] == [int(m.sum()) for m in op6_html.repeated(streams, list(range(len(streams))))]
+
+
 def test_suffix_array_covers_what_brute_force_covers():
     rng = random.Random(12)
     streams = [[rng.choice("ab") for _ in range(rng.randrange(0, 40))] for _ in range(12)]
