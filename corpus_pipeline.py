@@ -24,6 +24,9 @@ from ringfold.plans.shared import cut
 #: Percent of five-word shingles that near copies share at least; the 85 of op7_minhash is that query's alone.
 NEAR = 80
 
+#: Least words of a repeated line or run of lines that the line stage removes; the 25 of op10_lines is that query's, as its SQL.
+LINE_WORDS = 5
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language the model has learned; those predicted `und` go."""
@@ -31,8 +34,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of lines are removed; a document with no word left goes."""
-    out = dedup_lines(docs)
+    """Later repeats of runs of lines of LINE_WORDS words or more are removed; a document with no word left goes."""
+    out = dedup_lines(docs, LINE_WORDS)
     out = out.where((F.col(f"`{out.columns[-1]}`") == 0) | F.regexp_like("text", F.lit(WORD)))
     fix = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
     return out.withColumns(fix).select(*[F.col(f"`{c}`") for c in docs.columns])

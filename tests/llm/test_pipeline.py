@@ -92,3 +92,13 @@ def test_near_dedup_removes_copies_between_80_and_85(spark):
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {2 * i for i in range(40)}
     assert all(r.kept for r in op7_minhash.near_duplicates(docs).collect())
     assert (op7_minhash.matches(85), op7_minhash.matches(80)) == (40, 35)
+
+
+def test_line_dedup_removes_common_short_lines(spark):
+    """One line of nine words in every document stays in the first alone; lines of under LINE_WORDS words that repeat alone stay."""
+    rng = random.Random(24)
+    line = prose(rng, 9)
+    rows = [(i, f"{prose(rng, 12)}\n{line}\n{prose(rng, 12)}\nshort line\n{prose(rng, 12)}") for i in range(50)]
+    got = dict(corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
+    assert [i for i, t in sorted(got.items()) if line in t.split("\n")] == [0]
+    assert all(got[i].split("\n") == [x for x in t.split("\n") if i == 0 or x != line] for i, t in rows)
