@@ -1,13 +1,12 @@
-"""Line dedup by winnowing over line hashes, in DataFrame functions only.
+"""Line dedup by hashes of whole windows of lines, in DataFrame functions only.
 
 A run is a row of consecutive lines; lines without a word are skipped over and
 never removed. For every line two windows are formed: the shortest run of
 MIN_WORDS words or more that begins there, and the shortest that ends there.
-A window's smallest line hash is its fingerprint, so any run of MIN_WORDS words
-that stands in two places gives equal fingerprints in both: none is missed.
-Positions are joined on the fingerprint and the hash of the window's whole
-content; the windows that begin or end at neighbouring lines extend a match
-both ways to the ends of the repeated run.
+Every window is posted under the hash of its whole content (and its smallest line hash,
+which follows from it), so any run of MIN_WORDS words that stands in two places is found. This
+replaces winnowing: nothing is sampled, and as the windows of all lines cover a repeated
+run to both its ends, no match has to be extended.
 A line goes if it lies in a window that stands earlier, in order of
 (doc_id, hash of the text, line), in any document or the same one.
 
