@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-# The enumerations of the data model.
-ENTITY_TYPES = ("account", "merchant", "device", "ip_address", "card", "phone", "email")
-RELATIONSHIPS = ("transacted_at", "used_device", "used_ip", "linked_card", "linked_phone", "linked_email", "shared_merchant")
+# Names and types of the data model.
 STATUSES = ("pending", "approved", "declined", "reversed", "flagged")
-SEVERITIES = ("low", "medium", "high", "critical")
-RING_PATTERNS = ("star", "chain", "cycle", "dense", "layered")
 
 TRANSACTION_DDL = (
     "transaction_id string, timestamp timestamp, account_id string, merchant_id string, amount_usd double, currency string, status string, "
     "device_id string, ip_address string, card_last4 string, phone_number string, email string, mcc string, country_code string, metadata map<string,string>"
 )
-EDGE_DDL = "edge_id string, source_id string, source_type string, target_id string, target_type string, relationship string, weight double, timestamp timestamp, transaction_id string"
-SNAPSHOT_DDL = "component_id string, member_ids array<string>, size bigint, edge_count bigint, first_seen timestamp, last_updated timestamp, entity_types array<string>, transaction_ids array<string>"
-FEATURES_DDL = (
-    "txn_velocity_1h bigint, txn_velocity_24h bigint, amount_mean_30d double, amount_stddev_30d double, amount_zscore double, unique_merchants_30d bigint, "
-    "unique_devices_30d bigint, unique_ips_30d bigint, cross_border_ratio double, night_txn_ratio double, card_testing_score double, mule_account_score double"
-)
-SCORE_DDL = "score_id string, transaction_id string, account_id string, component_id string, composite_score double, feature_contributions map<string,double>, triggered_rules array<string>, evaluated_at timestamp, model_version string"
 CONFIRMATION_DDL = "component_id string, member_ids array<string>, reason string, analyst string, confirmed_at timestamp"
-LABEL_DDL = "key string, kind string, component_id string, confirmed_at timestamp, expires_at timestamp, reason string, analyst string, member_count int"
 
-#: Feature views: (entity key, days that a row stays valid, columns). The scores and flags that models make are inputs.
+# The feature views (entity key, days that a row stays valid, columns). The scores and flags that models make are inputs.
 FEATURE_VIEWS: dict[str, tuple[str, int, str]] = {
     "account_txn_stats": ("account_id", 30, "txn_velocity_1h bigint, txn_velocity_24h bigint, amount_mean_30d double, amount_stddev_30d double, amount_total_30d double, unique_merchants_30d bigint, unique_devices_30d bigint, unique_ips_30d bigint, cross_border_ratio double, night_txn_ratio double, declined_ratio_7d double, account_age_days bigint, first_seen_ts timestamp"),
     "account_risk_scores": ("account_id", 7, "card_testing_score double, mule_account_score double, synthetic_id_score double, ato_score double, model_version string, scored_at timestamp"),
@@ -31,7 +19,7 @@ FEATURE_VIEWS: dict[str, tuple[str, int, str]] = {
     "device_stats": ("device_id", 90, "linked_accounts_count bigint, first_seen_ts timestamp, txn_velocity_24h bigint, countries_30d bigint, emulator_flag bigint"),
     "ip_stats": ("ip_address", 14, "linked_accounts_count bigint, is_vpn bigint, is_tor bigint, is_datacenter bigint, country_code string, abuse_score double"),
 }
-#: Feature services: columns by view.
+# The feature services, columns by view.
 FEATURE_SERVICES: dict[str, dict[str, tuple[str, ...]]] = {
     "fraud_detection_v1": {
         "account_txn_stats": ("txn_velocity_1h", "txn_velocity_24h", "amount_mean_30d", "amount_stddev_30d", "unique_merchants_30d", "unique_devices_30d", "unique_ips_30d", "cross_border_ratio", "night_txn_ratio", "declined_ratio_7d", "account_age_days"),

@@ -1,11 +1,14 @@
 """Connected components of an undirected edge list, distributed and without a driver-side graph.
 
-Alternating large-star and small-star steps (Kiveris et al., "Connected
-Components in MapReduce and Beyond", 2014) turn any edge list into stars whose
-centre is the smallest node of the component, in O(log^2 n) rounds. A round is
-two aggregations with map-side minima and two joins; the edges of each round
-are a table in the shared folder, so no lineage piles up and a lost executor
-costs the tasks it ran. A graph counted to be small is finished by one task instead.
+In a round every task merges its share of the edges, PER_TASK or fewer, with a union-find and
+puts out (node, root) for each piece it sees; the root is the node of the piece with the smallest hash of
+this round. A node that several tasks saw has several roots; it keeps one, and the others are linked to that
+one, as is a node that is itself a root elsewhere. These links are the next round's graph, on roots alone; as
+hashes differ by round, a constant share of the nodes is expected to drop out of any graph. When one task can hold
+the links, its answer is final, and each round's nodes get the root of their root, last round first.
+No step needs a node's neighbours together, so a node with very many is no hot task. The
+tables of a round lie in the shared folder, so no lineage piles up and a lost executor
+costs the tasks it ran.
 """
 
 from __future__ import annotations
@@ -13,88 +16,111 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringfold.plans.shared import cut, drop_table
+from ringfold.plans.shared import cut
 
+#: Edges that a task merges at most: some ten MB of its memory.
+PER_TASK = 250_000
 
-#: Distinct edges up to which one task finishes the graph with a union-find: a counted bound, some MB of memory.
-SMALL = 100_000
 
-
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60, small: int = SMALL) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", per_task: int = PER_TASK) -> DataFrame:
     """(node, component) for each node of the edges; the component is its smallest node.
 
     Edges may repeat and may be self-loops; edges with a null end are ignored.
-    The distinct edges are counted first: up to `small` of them are merged in one
-    task, beyond it the rounds below run. Both give the same components.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    nodes = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "cc-nodes")
-    stars = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    before = None
-    for _ in range(most):
-        now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or now[0] == 0:
-            break
-        if now[0] <= small:
-            stars = stars.coalesce(1).mapInArrow(_union_find, stars.schema)
+    pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
+    links, rounds = pairs.where("u <> v"), []
+    while True:
+        tasks = -(-links.count() // per_task)
+        seed = len(rounds) if tasks > 1 or rounds else None
+        found = cut(links.coalesce(max(1, tasks)).mapInArrow(_Forest(per_task, seed), links.schema), "cc-roots")
+        if tasks <= 1:
             break
-        before, old = now, stars
-        stars = cut(_small_star(_large_star(stars)), "cc-edges")
-        drop_table(old)
-    centre = stars.groupBy("u").agg(F.min("v").alias("component"))
-    return nodes.join(centre, nodes.node == centre.u, "left").select("node", F.coalesce("component", "node").alias("component"))
-
-
-def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, smallest node of its component) for all nodes but the smallest ones, from all edges of a small graph."""
-    parent: dict = {}
-
-    def find(x):
-        while (p := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[p]
-        return x
-
-    schema = None
-    for batch in batches:
-        schema = batch.schema
-        for u, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            x, y = find(u), find(v)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-    if schema is not None:
-        rows = [(x, find(x)) for x in parent if find(x) != x]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node links its larger neighbours to the smallest of itself and its neighbours."""
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
+        one = cut(found.groupBy("u").agg(F.min("v").alias("m")), "cc-one")
+        rounds.append(one)
+        more = found.join(one, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = one.join(found.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u", F.col("m").alias("v"))
+        links = cut(more.unionAll(both).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
+    for one in reversed(rounds):
+        up = found.select(F.col("u").alias("m"), F.col("v").alias("c"))
+        mine = one.join(up, "m", "left").select("u", F.coalesce("c", "m").alias("v"))
+        found = cut(mine.unionAll(found.join(one, "u", "left_anti").select("u", "v")), "cc-roots")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    placed = nodes.join(found, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))
+    if not rounds:  # one task saw all and took the smallest nodes as roots
+        return placed
+    placed = cut(placed, "cc-nodes")
+    least = cut(placed.groupBy("component").agg(F.min("node").alias("least")), "cc-names")
+    return placed.join(least, "component").select("node", F.col("least").alias("component"))
+
+
+class _Forest:
+    """(node, root) for the pieces of a task's edges; at most twice `most` edges are held at a time.
+
+    The root has the smallest hash of the round `seed`, or is the smallest node if seed is None.
+    """
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node links its smaller neighbours and itself to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+    def __init__(self, most: int, seed: int | None) -> None:
+        self.most, self.seed = most, seed
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+        first: dict = {}
+
+        def find(x):
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[p]
+            return x
+
+        def rank(x):
+            if x not in first:
+                first[x] = (xxhash.xxh3_64_intdigest(str(x), self.seed), x)
+            return first[x]
+
+        def out(schema: pa.Schema) -> pa.RecordBatch:
+            rows = [(x, root) for x in list(parent) if (root := find(x)) != x]
+            parent.clear()
+            first.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        schema, held = None, 0
+        for batch in batches:
+            schema = batch.schema
+            for u, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, y = find(u), find(v)
+                if x != y:
+                    if (x < y) if self.seed is None else (rank(x) < rank(y)):
+                        x, y = y, x
+                    parent[x] = y
+            held += batch.num_rows
+            if held >= 2 * self.most:
+                yield out(schema)
+                held = 0
+        if schema is not None:
+            yield out(schema)
 
 
 def snapshots(edges: DataFrame, most: int = 500) -> DataFrame:
-    """A row a component: size, edge_count (every edge counts), members and transactions (the smallest `most`), first and last seen, entity types.
+    """A row a component: size, edge_count, members and transactions (the smallest `most`), first and last seen, entity types.
 
-    edges: source_id, source_type, target_id, target_type, transaction_id, ts_us.
+    edges: source_id, source_type, target_id, target_type, transaction_id, ts_us; deduplicated ones, as every edge counts.
     """
-    nodes = connected_components(edges, "source_id", "target_id")
+    nodes = cut(connected_components(edges, "source_id", "target_id"), "cc-nodes")
     ends = edges.select(F.explode(F.array(F.struct(F.col("source_id").alias("node"), F.col("source_type").alias("type")), F.struct(F.col("target_id").alias("node"), F.col("target_type").alias("type")))).alias("x")).select("x.*").distinct()
-    members = ends.join(nodes, "node").groupBy("component").agg(F.countDistinct("node").alias("size"), smallest("node", most).alias("member_ids"), F.array_sort(F.collect_set("type")).alias("entity_types"))
-    with_part = edges.join(nodes, edges.source_id == nodes.node).groupBy("component").agg(F.count("*").alias("edge_count"), smallest("transaction_id", most).alias("transaction_ids"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
-    return members.join(with_part, "component").withColumnRenamed("component", "component_id")
-
-
-def smallest(column: str, most: int):
-    """The `most` smallest distinct values, sorted; README says what that holds in memory."""
-    return F.slice(F.array_sort(F.collect_set(column)), 1, most)
+    types = ends.join(nodes, "node").groupBy("component").agg(F.array_sort(F.collect_set("type")).alias("entity_types"))
+    sizes = nodes.groupBy("component").agg(F.count("*").alias("size"))
+    placed = edges.join(nodes, edges.source_id == nodes.node).select("component", "transaction_id", "ts_us")
+    parts = placed.groupBy("component").agg(F.count("*").alias("edge_count"), F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
+    out = sizes.join(parts, "component").join(types, "component").join(smallest(nodes, "node", most).withColumnRenamed("ids", "member_ids"), "component")
+    return out.join(smallest(placed.select("component", "transaction_id").distinct(), "transaction_id", most).withColumnRenamed("ids", "transaction_ids"), "component").withColumnRenamed("component", "component_id")
+
+
+def smallest(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """(component, ids): the `most` smallest of distinct values in order. The rank is limited before the shuffle, so no list is held whole."""
+    rank = F.row_number().over(Window.partitionBy("component").orderBy(column))
+    first = rows.select("component", column, rank.alias("__r")).where(F.col("__r") <= most)
+    return first.groupBy("component").agg(F.array_sort(F.collect_list(column)).alias("ids"))

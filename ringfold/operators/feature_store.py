@@ -64,8 +64,8 @@ def read_view(spark: SparkSession, folder: str, view: str) -> DataFrame:
 
 
 def latest(view: DataFrame, key: str, time: str = "event_us") -> DataFrame:
-    """The newest row of each key: what an online store holds."""
-    w = Window.partitionBy(key).orderBy(F.col(time).desc())
+    """The newest row of each key: what an online store holds. Of rows of equal time the one with the largest values stays."""
+    w = Window.partitionBy(key).orderBy(F.col(time).desc(), *[F.col(c).desc() for c in view.columns if c not in (key, time)])
     return view.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
@@ -92,7 +92,7 @@ def point_in_time(rows: DataFrame, view: DataFrame, key: str, days: int, time: s
     values = [c for c in view.columns if c not in (key, view_time)]
     left = rows.select(F.col(key).alias("__k"), F.col(time).alias("__t"), F.lit(1).alias("__side"), F.struct(*rows.columns).alias("__row"), F.lit(None).cast(view.select(F.struct(view_time, *values).alias("v")).schema["v"].dataType).alias("__f"))
     right = view.select(F.col(key).alias("__k"), F.col(view_time).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(left.schema["__row"].dataType).alias("__row"), F.struct(view_time, *values).alias("__f"))
-    w = Window.partitionBy("__k").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("__k").orderBy("__t", "__side", "__f").rowsBetween(Window.unboundedPreceding, 0)
     d = left.unionByName(right).withColumn("__last", F.last("__f", ignorenulls=True).over(w)).where("__side = 1")
     fresh = F.col(f"__last.{view_time}") > F.col("__t") - days * DAY
     return d.select("__row.*", *[F.when(fresh, F.col(f"__last.{c}")).alias(c) for c in [view_time, *values]])

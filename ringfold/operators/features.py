@@ -58,20 +58,6 @@ def account_features(txns: DataFrame) -> DataFrame:
     return d.select("transaction_id", "account_id", "ts_us", "amount_cents", *FEATURES)
 
 
-def local_features(history: list[dict], amount: float, n: int, mean: float, m2: float, now_ms: int) -> dict:
-    """The same features for one account from a list of history entries (ts in ms, amount, device, ip, is_*): for tests and notebooks."""
-    hour = [h for h in history if h["ts"] >= now_ms - 3_600_000]
-    day = [h for h in history if h["ts"] >= now_ms - 86_400_000]
-    share = lambda rows, key: round(sum(bool(h[key]) for h in rows) / max(len(rows), 1), 4)
-    sd = (m2 / n) ** 0.5 if n > 1 else 0.0
-    return {
-        "txn_velocity_1h": len(hour), "txn_velocity_24h": len(day), "amount_mean_30d": round(mean, 4), "amount_stddev_30d": round(sd, 4),
-        "amount_zscore": round((amount - mean) / sd, 4) if sd > 0 else 0.0, "unique_merchants_30d": 0,
-        "unique_devices_30d": len({h["device"] for h in hour if h["device"]}), "unique_ips_30d": len({h["ip"] for h in hour if h["ip"]}),
-        "cross_border_ratio": share(day, "is_cross_border"), "night_txn_ratio": share(day, "is_night"), "card_testing_score": share(hour, "is_micro"), "mule_account_score": 0.0,
-    }
-
-
 def accounts_per_device(txns: DataFrame) -> DataFrame:
     """device_id, accounts: how many accounts truly share a device."""
     return txns.where(F.col("device_id") != "").groupBy("device_id").agg(F.countDistinct("account_id").alias("accounts"))

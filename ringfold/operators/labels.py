@@ -28,11 +28,13 @@ def lookup(found: DataFrame, kind: str, key: str) -> DataFrame:
 
 
 def known(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows with `known`: its component or its account is labelled at ts_us. Two equality joins; validity is tested on their few matches."""
-    id_ = ["transaction_id"]
-    hits = []
+    """rows with `known`: its component or its account has a valid label at ts_us.
+
+    found has one label for each (kind, key), as upsert leaves them, so two equality joins keep the rows as they are.
+    """
+    flag = F.lit(False)
     for kind, column in (("component", "component_id"), ("entity", "account_id")):
-        mine = found.where(F.col("kind") == kind).select("key", "confirmed_us", "expires_us")
-        hits.append(rows.join(mine, (F.col(column) == F.col("key")) & (F.col("ts_us") >= F.col("confirmed_us")) & (F.col("ts_us") < F.col("expires_us")), "left_semi").select(*id_))
-    seen = hits[0].unionByName(hits[1]).distinct().withColumn("__known", F.lit(True))
-    return rows.join(seen, id_, "left").withColumn("known", F.coalesce("__known", F.lit(False))).drop("__known")
+        mine = found.where(F.col("kind") == kind).select(F.col("key").alias(f"__{kind}"), F.col("confirmed_us").alias(f"__{kind}_from"), F.col("expires_us").alias(f"__{kind}_to"))
+        rows = rows.join(mine, F.col(column) == F.col(f"__{kind}"), "left")
+        flag = flag | F.coalesce((F.col("ts_us") >= F.col(f"__{kind}_from")) & (F.col("ts_us") < F.col(f"__{kind}_to")), F.lit(False))
+    return rows.withColumn("known", flag).drop(*[f"__{kind}{end}" for kind in ("component", "entity") for end in ("", "_from", "_to")])

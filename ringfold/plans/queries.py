@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringfold.functions.numbers import DAY, HOUR, round4
-from ringfold.functions.settings import Generator
+from ringfold.functions.settings import group
 from ringfold.operators import alerts as al
 from ringfold.operators import components as cc
 from ringfold.operators import edges as ed
@@ -53,6 +53,10 @@ def q_edge_keys(spark, d):
     return edges(spark, d).groupBy("edge_key").agg(F.count("*").alias("n"))
 
 
+def deduped(spark, d):
+    return gaps.keep_after_gap(edges(spark, d), "edge_key", "ts_us", "transaction_id", DAY, inclusive=False)
+
+
 def q_edge_dedup_24h(spark, d):
     e = edges(spark, d).select("edge_key", "ts_us", "transaction_id")
     return gaps.keep_after_gap(e, "edge_key", "ts_us", "transaction_id", DAY, inclusive=False)
@@ -62,12 +66,22 @@ def q_components(spark, d):
     return cc.connected_components(edges(spark, d), "source_id", "target_id")
 
 
+LARGE = 120_000
+
+
+def q_components_large(spark, d):
+    """Chains of 1,000 nodes with scattered names, more edges than a task is given here: the rounds between tasks do the rest."""
+    name = lambda i: F.pmod(i * 611_953, F.lit(1_000_003))
+    e = spark.range(LARGE).where("id % 1000 <> 999").select(name(F.col("id")).alias("a"), name(F.col("id") + 1).alias("b"))
+    return cc.connected_components(e, per_task=40_000).groupBy("component").agg(F.count("*").alias("n"), F.sum("node").alias("nodes"))
+
+
 def snaps(spark, d):
-    return cc.snapshots(edges(spark, d))
+    return cc.snapshots(cut(deduped(spark, d), "edges-deduped"))
 
 
 def q_component_stats(spark, d):
-    return snaps(spark, d).select("component_id", "size", "edge_count", "first_us", "last_us", F.concat_ws(",", "entity_types").alias("entity_types"), F.concat_ws(",", F.slice("member_ids", 1, 5)).alias("members"))
+    return snaps(spark, d).select("component_id", "size", "edge_count", "first_us", "last_us", F.concat_ws(",", "entity_types").alias("entity_types"), F.concat_ws(",", "member_ids").alias("members"), F.concat_ws(",", "transaction_ids").alias("transactions"))
 
 
 def q_density(spark, d):
@@ -241,11 +255,11 @@ def q_component_size_pctl(spark, d):
 
 
 def q_generator_mix(spark, d):
-    return generator.pattern_counts(generator.traffic(spark, 5000, Generator()))
+    return generator.pattern_counts(generator.traffic(spark, 5000, group("GENERATOR")))
 
 
 def q_generator_rings(spark, d):
-    g = Generator()
+    g = group("GENERATOR")
     t = generator.fraudulent(spark, 1, g)
     return t.groupBy("ring_id", "pattern").agg(F.countDistinct("account_id").alias("members"), F.countDistinct("device_id").alias("devices"), F.max("amount_cents").alias("max_cents"))
 
@@ -304,7 +318,7 @@ node AS (SELECT node, min(reached) AS component FROM walk GROUP BY node)"""
 _SNAP = """
 kind AS (SELECT source_id AS node, source_type AS type FROM edge UNION SELECT target_id, target_type FROM edge),
 snap AS (SELECT component AS component_id, count(DISTINCT node) AS size, string_agg(DISTINCT type, ',' ORDER BY type) AS entity_types, list_sort(list(DISTINCT node)) AS member_ids FROM kind JOIN node USING (node) GROUP BY 1),
-part AS (SELECT component AS component_id, count(*) AS edge_count, min(ts_us) AS first_us, max(ts_us) AS last_us FROM edge JOIN node ON source_id = node GROUP BY 1),
+part AS (SELECT component AS component_id, count(*) AS edge_count, min(ts_us) AS first_us, max(ts_us) AS last_us, list_sort(list(DISTINCT transaction_id)) AS transaction_ids FROM k JOIN node ON source_id = node WHERE kept GROUP BY 1),
 snaps AS (SELECT * FROM snap JOIN part USING (component_id))"""
 _FEAT = f"""
 flag AS (SELECT *, amount_cents < 100 AS is_micro, ((ts_us // {HOUR}) % 24 >= 23 OR (ts_us // {HOUR}) % 24 < 5) AS is_night, upper(coalesce(nullif(country_code, ''), 'US')) <> 'US' AS is_cross FROM txn),
@@ -338,7 +352,6 @@ def _rules(size: str = "0", frm: str = "feat") -> str:
 
 _FAST = "WITH " + _txn(SQUEEZE) + "," + _FEAT
 _SLOW = "WITH " + _txn()
-_GRAPH = _SLOW.replace("WITH", "WITH RECURSIVE", 1) + "," + _EDGES + "," + _CC + "," + _SNAP
 _LABEL = f"""
 conf AS (SELECT DISTINCT user_id, d.day FROM events, (VALUES (5), (6)) d(day) WHERE user_id % 9 = 0 AND (d.day = 5 OR user_id % 18 = 0)),
 lab AS (SELECT kind, CASE kind WHEN 'component' THEN 'comp_' ELSE 'acct_' END || user_id AS key, 'comp_' || user_id AS component_id, ({tx.T0} + max(day)::BIGINT * {DAY // SQUEEZE})::BIGINT AS confirmed_us FROM conf, (VALUES ('component'), ('entity')) k(kind) GROUP BY kind, user_id)"""
@@ -355,6 +368,8 @@ def _greedy(source: str, key: str, gap: int, op: str) -> str:
 k AS (SELECT *, ts_us AS held, true AS kept FROM o WHERE i = 1 UNION ALL SELECT o.*, CASE WHEN o.ts_us - k.held {op} {gap} THEN o.ts_us ELSE k.held END, o.ts_us - k.held {op} {gap} FROM k JOIN o ON o.{key} = k.{key} AND o.i = k.i + 1)"""
 
 
+_PLAIN = _SLOW.replace("WITH", "WITH RECURSIVE", 1) + "," + _EDGES + "," + _CC
+_GRAPH = _PLAIN + "," + _greedy("keyed", "edge_key", DAY, ">") + "," + _SNAP
 _MONTH, _WEEK, _DAY1 = (f"ts_us > {AS_OF - n * DAY}" for n in (30, 7, 1))
 _SPREAD = "sqrt((n::HUGEINT * q)::DOUBLE - (s::HUGEINT * s::HUGEINT)::DOUBLE)"
 _ACCOUNT = f"""acc AS (SELECT account_id, {AS_OF}::BIGINT AS event_us, count(*) FILTER (ts_us > {AS_OF - HOUR}) AS txn_velocity_1h, count(*) FILTER ({_DAY1}) AS txn_velocity_24h, count(*) FILTER ({_MONTH}) AS n, coalesce(sum(amount_cents) FILTER ({_MONTH}), 0) AS s, coalesce(sum(amount_cents::HUGEINT * amount_cents) FILTER ({_MONTH}), 0) AS q,
@@ -374,11 +389,12 @@ ORACLE_SQL = {
     "q_entity_edges": f"{_SLOW},{_EDGES} SELECT * FROM edge",
     "q_edge_keys": f"{_SLOW},{_EDGES} SELECT edge_key, count(*) AS n FROM keyed GROUP BY 1",
     "q_edge_dedup_24h": f"{_SLOW.replace('WITH', 'WITH RECURSIVE', 1)},{_EDGES},{_greedy('keyed', 'edge_key', DAY, '>')} SELECT edge_key, ts_us, transaction_id FROM k WHERE kept",
-    "q_components": f"{_GRAPH} SELECT node, component FROM node",
-    "q_component_stats": f"{_GRAPH} SELECT component_id, size, edge_count, first_us, last_us, entity_types, array_to_string(member_ids[1:5], ',') AS members FROM snaps",
+    "q_components": f"{_PLAIN} SELECT node, component FROM node",
+    "q_components_large": f"SELECT min(a) AS component, count(*) AS n, sum(a)::BIGINT AS nodes FROM (SELECT i // 1000 AS c, (i * 611953) % 1000003 AS a FROM range({LARGE}) t(i)) GROUP BY c",
+    "q_component_stats": f"{_GRAPH} SELECT component_id, size, edge_count, first_us, last_us, entity_types, array_to_string(member_ids[1:500], ',') AS members, array_to_string(transaction_ids[1:500], ',') AS transactions FROM snaps",
     "q_density": f"{_GRAPH} SELECT component_id, {_R4.format('CASE WHEN size <= 1 THEN 0 ELSE 2::DOUBLE * edge_count / (size * (size - 1)) END')} AS density FROM snaps",
     "q_top_components": f"{_GRAPH} SELECT component_id, size FROM snaps WHERE size >= 3 ORDER BY size DESC, component_id LIMIT 20",
-    "q_component_types": f"{_GRAPH} SELECT component, string_agg(DISTINCT t, ',' ORDER BY t) AS types FROM (SELECT component, CASE WHEN node LIKE 'ip:%' THEN 'ip_address' WHEN node LIKE 'card:%' THEN 'card' WHEN length(node) = 36 THEN 'device' ELSE 'account' END AS t FROM node) GROUP BY 1",
+    "q_component_types": f"{_PLAIN} SELECT component, string_agg(DISTINCT t, ',' ORDER BY t) AS types FROM (SELECT component, CASE WHEN node LIKE 'ip:%' THEN 'ip_address' WHEN node LIKE 'card:%' THEN 'card' WHEN length(node) = 36 THEN 'device' ELSE 'account' END AS t FROM node) GROUP BY 1",
     "q_velocity": f"{_FAST} SELECT transaction_id, txn_velocity_1h, txn_velocity_24h FROM feat",
     "q_amount_stats": f"{_FAST} SELECT transaction_id, amount_mean_30d, amount_stddev_30d, amount_zscore FROM feat",
     "q_ratios": f"{_FAST} SELECT transaction_id, card_testing_score, night_txn_ratio, cross_border_ratio FROM feat",
@@ -404,7 +420,7 @@ ORACLE_SQL = {
     "q_rule_trigger_counts": f"{_KNOWN} SELECT rule, count(*) AS n_triggers FROM (SELECT unnest(triggered) AS rule FROM known) GROUP BY 1",
     "q_score_percentiles": f"{_KNOWN} SELECT quantile_cont(composite_score, 0.5) AS p50, quantile_cont(composite_score, 0.95) AS p95, quantile_cont(composite_score, 0.99) AS p99 FROM known",
     "q_component_size_pctl": f"{_GRAPH} SELECT count(*) AS n_components, sum(size)::BIGINT AS n_entities, max(size) AS max_size, quantile_cont(size, 0.5)::DOUBLE AS p50, quantile_cont(size, 0.95)::DOUBLE AS p95 FROM snaps",
-    "q_stream_components": f"{_GRAPH} SELECT (count(*) - count(DISTINCT component))::BIGINT AS n_merges FROM node",
+    "q_stream_components": f"{_PLAIN} SELECT (count(*) - count(DISTINCT component))::BIGINT AS n_merges FROM node",
 }
 ORACLE_SQL["q_stream_dedup"] = ORACLE_SQL["q_edge_dedup_24h"]
 ORACLE_SQL["q_stream_features"] = f"{_FAST} SELECT * FROM feat"

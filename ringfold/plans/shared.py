@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where it is unset (tests), a local one."""
+    """The folder of spark.checkpoint.dir; only where it is unset on one machine (tests), a local one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "ringfold-shared")
     return folder.rstrip("/")
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringfold.functions.schemas import CONFIRMATION_DDL, STATUSES, TRANSACTION_DDL
-from ringfold.functions.settings import Broker
+from ringfold.functions.settings import group
 
 T0 = 1_704_067_200_000_000  # 2024-01-01 UTC
 
@@ -76,26 +78,26 @@ def bad(parsed: DataFrame) -> DataFrame:
     return parsed.where("error IS NOT NULL").select("raw", "error")
 
 
-def broker_stream(spark: SparkSession, topic: str, broker: Broker | None = None, earliest: bool = False, most: int = 1_000_000) -> DataFrame:
+def broker_stream(spark: SparkSession, topic: str, broker: SimpleNamespace | None = None, earliest: bool | None = None, most: int = 1_000_000) -> DataFrame:
     """`value` strings of a Kafka topic; needs Spark's Kafka connector on the class path."""
-    broker = broker or Broker()
+    broker = broker or group("KAFKA")
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", broker.bootstrap_servers).option("subscribe", topic)
-    reader = reader.option("startingOffsets", "earliest" if earliest else "latest").option("maxOffsetsPerTrigger", most).option("kafka.group.id", broker.consumer_group)
+    reader = reader.option("startingOffsets", broker.auto_offset_reset if earliest is None else "earliest" if earliest else "latest").option("maxOffsetsPerTrigger", most).option("kafka.group.id", broker.consumer_group)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def transaction_stream(spark: SparkSession, broker: Broker | None = None, earliest: bool = False) -> DataFrame:
-    broker = broker or Broker()
+def transaction_stream(spark: SparkSession, broker: SimpleNamespace | None = None, earliest: bool = False) -> DataFrame:
+    broker = broker or group("KAFKA")
     return broker_stream(spark, broker.transactions_topic, broker, earliest)
 
 
-def confirmation_stream(spark: SparkSession, broker: Broker | None = None) -> DataFrame:
-    broker = broker or Broker()
-    return broker_stream(spark, broker.confirmations_topic, Broker(**{**vars(broker), "consumer_group": f"{broker.consumer_group}-confirmations"}), True)
+def confirmation_stream(spark: SparkSession, broker: SimpleNamespace | None = None) -> DataFrame:
+    broker = broker or group("KAFKA")
+    return broker_stream(spark, broker.confirmations_topic, SimpleNamespace(**{**vars(broker), "consumer_group": f"{broker.consumer_group}-confirmations"}), True)
 
 
-def component_stream(spark: SparkSession, broker: Broker | None = None) -> DataFrame:
-    broker = broker or Broker()
+def component_stream(spark: SparkSession, broker: SimpleNamespace | None = None) -> DataFrame:
+    broker = broker or group("KAFKA")
     return broker_stream(spark, broker.components_topic, broker, True)
 
 
@@ -118,23 +120,23 @@ def as_json(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), JSON).alias("value"))
 
 
-def broker_sink(rows: DataFrame, topic: str, checkpoint: str, broker: Broker | None = None):
+def broker_sink(rows: DataFrame, topic: str, checkpoint: str, broker: SimpleNamespace | None = None):
     """A writer of rows as JSON to a topic, at least once; call start() on it."""
-    broker = broker or Broker()
+    broker = broker or group("KAFKA")
     writer = as_json(rows).writeStream.format("kafka").option("kafka.bootstrap.servers", broker.bootstrap_servers).option("topic", topic).option("checkpointLocation", checkpoint)
     return writer.option("kafka.batch.size", broker.batch_size).option("kafka.linger.ms", broker.linger_ms).option("kafka.compression.type", broker.compression_type)
 
 
-def alert_sink(alerts: DataFrame, checkpoint: str, broker: Broker | None = None):
-    return broker_sink(alerts, (broker or Broker()).alerts_topic, checkpoint, broker)
+def alert_sink(alerts: DataFrame, checkpoint: str, broker: SimpleNamespace | None = None):
+    return broker_sink(alerts, (broker or group("KAFKA")).alerts_topic, checkpoint, broker)
 
 
-def component_sink(snapshots: DataFrame, checkpoint: str, broker: Broker | None = None):
-    return broker_sink(snapshots, (broker or Broker()).components_topic, checkpoint, broker)
+def component_sink(snapshots: DataFrame, checkpoint: str, broker: SimpleNamespace | None = None):
+    return broker_sink(snapshots, (broker or group("KAFKA")).components_topic, checkpoint, broker)
 
 
-def audit_sink(confirmations: DataFrame, checkpoint: str, broker: Broker | None = None):
-    return broker_sink(confirmations, (broker or Broker()).confirmations_topic + "-audit", checkpoint, broker)
+def audit_sink(confirmations: DataFrame, checkpoint: str, broker: SimpleNamespace | None = None):
+    return broker_sink(confirmations, (broker or group("KAFKA")).confirmations_topic + "-audit", checkpoint, broker)
 
 
 def json_sink(rows: DataFrame, folder: str) -> None:

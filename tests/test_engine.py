@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ringfold.functions.numbers import DAY, HOUR
-from ringfold.functions.settings import Alerts, Generator, Settings
+from ringfold.functions import settings
 from ringfold.operators import alerts, components, edges, feature_store, features, gaps, generator, labels, rules
 from ringfold.sources import transactions as tx
 from ringfold.streaming import pipelines
@@ -93,17 +93,17 @@ def brute_components(pairs):
 
 
 @pytest.mark.parametrize("pairs", [[("a", "a")], [("a", "b"), ("b", "c"), ("x", "y")], [(f"n{i:04}", f"n{i + 1:04}") for i in range(150)], [("a", "b"), ("b", "a"), ("c", "c")]])
-@pytest.mark.parametrize("small", [0, components.SMALL])
-def test_components(spark, pairs, small):
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string"), small=small).collect()}
+@pytest.mark.parametrize("per_task", [7, components.PER_TASK])
+def test_components(spark, pairs, per_task):
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string").repartition(5), per_task=per_task).collect()}
     assert got == brute_components(pairs)
 
 
 def test_components_of_random_graphs(spark):
     rng = random.Random(5)
     pairs = [(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(g), rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(g)) for g in range(20) for _ in range(rng.randint(1, 20))]
-    for small in (0, 50, components.SMALL):
-        got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string"), small=small).collect()}
+    for per_task in (40, components.PER_TASK):
+        got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string").repartition(5), per_task=per_task).collect()}
         assert got == brute_components(pairs)
 
 
@@ -150,14 +150,6 @@ def test_stateful_features_equal_batch(spark):
     assert sorted(map(tuple, pipelines.features(frame(spark, rows)).collect())) == want
 
 
-def test_local_features():
-    now = 1_704_067_200_000
-    history = [{"ts": now - 60_000 * i, "amount": 1, "device": d, "ip": None, "is_micro": i < 1, "is_night": False, "is_cross_border": False} for i, d in enumerate("aba" + "c")]
-    history.append({"ts": now - 3_600_001, "amount": 1, "device": "z", "ip": "1", "is_micro": True, "is_night": True, "is_cross_border": True})
-    f = features.local_features(history, 30.0, 10, 10.0, 900.0, now)
-    assert (f["txn_velocity_1h"], f["txn_velocity_24h"], f["unique_devices_30d"], f["card_testing_score"], f["amount_zscore"]) == (4, 5, 3, 0.25, 2.1082)
-
-
 def scored(spark, size=None, known=False, **values):
     base = dict.fromkeys(features.FEATURES, 0.0) | values
     d = spark.createDataFrame([("t", *map(float, base.values()))], "transaction_id string, " + ", ".join(f"{k} double" for k in base))
@@ -230,7 +222,7 @@ def test_materialise_keeps_the_newest(spark, tmp_path):
 
 
 def test_generator_is_deterministic_and_rings_keep_their_shape(spark):
-    g = Generator(accounts=500, merchants=50, rings=8)
+    g = settings.group("GENERATOR", num_legitimate_accounts=500, num_merchants=50, num_fraud_rings=8)
     a, b = (sorted(map(str, generator.traffic(spark, 400, g).collect())) for _ in range(2))
     assert a == b and len(a) == 400
     r = generator.fraudulent(spark, 1, g)
@@ -259,6 +251,17 @@ def test_label_writer(spark, tmp_path):
     assert spark.read.text(f"file://{tmp_path}/audit").count() == 4
 
 
-def test_settings_follow_the_environment(monkeypatch):
-    monkeypatch.setenv("ALERT_LOW", "0.4")
-    assert Settings().alerts == Alerts(low=0.4)
+def test_settings_come_from_environment_file_and_defaults(monkeypatch, tmp_path):
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / ".env").write_text("# own values\nALERT_SCORE_THRESHOLD_LOW=0.2\nALERT_SCORE_THRESHOLD_HIGH='0.8'\n")
+    monkeypatch.setenv("ALERT_SCORE_THRESHOLD_LOW", "0.4")
+    a = settings.group("ALERT")
+    assert (a.score_threshold_low, a.score_threshold_high, a.score_threshold_medium, a.component_size_high) == (0.4, 0.8, 0.5, 15)
+    with pytest.raises(TypeError):
+        settings.group("ALERT", gap=1)
+
+
+def test_alerts_read_the_settings(spark, monkeypatch):
+    monkeypatch.setenv("ALERT_SCORE_THRESHOLD_LOW", "0.95")
+    d = spark.createDataFrame([("t", "a", T0, 0.94)], "transaction_id string, account_id string, ts_us long, composite_score double")
+    assert alerts.alerts(d).count() == 0
