@@ -12,9 +12,9 @@ With u_i uniform from a hash of doc_id, documents are ranked by
 q_i = (u_i / (1 - u_i)) / (p_i / (1 - p_i)), random odds over inclusion odds
 (Rosen 1997), and taken in that order until the rest is filled.
 
-No source is ever sorted as a whole. A histogram of q of 4096 bins a source,
-then one of 4096 bins within the bin that holds the cut, leave about one document in 16 million
-to rank row by row, so a source with a third of all rows is no hot task.
+No source is ever sorted as a whole. A histogram of q of 65,536 bins a source finds the bin of the cut; the
+documents of that bin alone, one in 65,536, are ranked one by one, and the last one taken is the
+source's cut. A document compares itself with the cut of its source, so a source with a third of all rows is no hot task.
 
 Edge cases: null or empty text has size 0 and takes 0; a null source is a
 source of its own; rows that repeat a doc_id share its random number and rank
@@ -34,7 +34,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 SEED = 20250101
 POWER = 0.5
-BINS = 4096
+BINS = 1 << 16
 
 
 def targets(sizes: DataFrame, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -62,69 +62,62 @@ def uniform(seed: int, *cols: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 12).cast("double") + 0.5) / float(1 << 52)
 
 
-def mix(docs: DataFrame, size: Column | None = None, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, power: float = POWER) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken, inclusion for each row of docs.
+def odds(classes: DataFrame, cap: float, weights: tuple[float, ...], power: float) -> DataFrame:
+    """(source, class, words) to source, class, source_size, target, whole, rest, p: what documents of a class share.
 
-    size: words of `text` unless given. power: how much longer documents are
-    preferred in the drawn part (0: not at all, 1: in proportion to size).
+    A source has at most 64 classes, and the k largest that reach probability 1 are a prefix of them.
     """
-    size = word_count(F.col("text")) if size is None else size
-    slim = cut(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
-    aim = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), cap, weights)
+    aim = targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), cap, weights)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     aim = aim.withColumn("whole", F.floor(ratio)).withColumn("rest", (ratio - F.floor(ratio)) * F.col("source_size"))
-    aim = cut(aim, "mix-targets")  # a row a source; read back below instead of being worked out for every join
-
-    # c of each source, from at most 64 size classes: the k largest classes that reach probability 1 are a prefix
-    level = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")))).otherwise(0)
-    slim = slim.withColumn("class", level.cast("int"))
-    classes = slim.groupBy("source", "class").agg(F.sum("size").alias("words")).withColumn("g", F.pow(F.lit(2.0), F.col("class") * power))
-    classes = same_source(classes, aim.select("source", "rest"))
+    classes = same_source(classes, aim).withColumn("g", F.pow(F.lit(2.0), F.col("class") * power))
     down = Window.partitionBy("source").orderBy(F.col("class").desc())
     sure = F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     open_ = F.sum(F.col("g") * F.col("words")).over(down.rowsBetween(0, Window.unboundedFollowing))
     classes = classes.withColumn("k", sure).withColumn("c", F.when(open_ > 0, (F.col("rest") - sure) / open_).otherwise(0.0))
-    first = F.min(F.when(F.col("c") * F.col("g") <= 1, F.struct("k", "c"))).over(Window.partitionBy("source"))
-    odds = classes.withColumn("pick", first).select("source", "class", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("pick.c") * F.col("g"))).alias("p"))
-    odds = cut(same_source(odds, aim), "mix-odds")
+    pick = F.min(F.when(F.col("c") * F.col("g") <= 1, F.struct("k", "c"))).over(Window.partitionBy("source"))
+    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("pick.c") * F.col("g")))
+    return classes.withColumn("pick", pick).select("source", "class", "source_size", "target", "whole", "rest", p.alias("p"))
+
+
+def mix(docs: DataFrame, size: Column | None = None, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, power: float = POWER) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken, inclusion for each row of docs.
+
+    size: words of `text` unless given. power: how much longer documents are
+    preferred in the drawn part (0: not at all, 1: in proportion to size).
+    """
+    size = word_count(F.col("text")) if size is None else size
+    level = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")))).otherwise(0).cast("int")
+    slim = cut(docs.select("doc_id", "source", size.cast("long").alias("size")).withColumn("class", level), "mix-sizes")
+    # a row a source and class, read back below instead of being worked out for the join
+    shared = cut(odds(slim.groupBy("source", "class").agg(F.sum("size").alias("words")), cap, weights, power), "mix-odds")
 
-    rows = slim.join(odds.withColumnRenamed("source", "s").withColumnRenamed("class", "k"), F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("k"))).drop("s", "k", "class")
+    rows = same_source(slim, shared.withColumnRenamed("class", "k"), F.col("class") == F.col("k"))
     u = uniform(seed, F.col("doc_id"))
-    q = F.when(F.col("p") >= 1, 0.0).when(F.col("p") > 0, u / (1 - u) * (1 - F.col("p")) / F.col("p"))
-    rows = rows.withColumn("v", F.when(q.isNotNull(), q / (1 + q)).otherwise(F.lit(1.0)))
-    rows = rows.withColumn("b1", F.least(F.floor(F.col("v") * BINS), F.lit(BINS - 1)).cast("int"))
-    rows = rows.withColumn("b2", F.least(F.floor((F.col("v") * BINS - F.col("b1")) * BINS), F.lit(BINS - 1)).cast("int"))
-
-    drawn = rows.where((F.col("p") > 0) & (F.col("size") > 0))
-    cut1 = crossing(drawn.groupBy("source", "b1").agg(F.sum("size").alias("words"), F.first("rest").alias("room")), "b1")
-    cut1 = cut(cut1, "mix-first-cut")
-    near = drawn.join(cut1.withColumnRenamed("source", "s").withColumnRenamed("b1", "c1"), F.col("source").eqNullSafe(F.col("s")) & (F.col("b1") == F.col("c1")))
-    cut2 = crossing(near.groupBy("source", "b2").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "b2").withColumnRenamed("left", "left2")
-    edge = same_source(cut1.withColumnRenamed("b1", "c1"), cut2.withColumnRenamed("b2", "c2"), "left")
-    edge = cut(edge.select("source", "c1", "c2", "left2"), "mix-cuts")
-    rows = same_source(rows, edge, "left")
-
-    last = (F.col("p") > 0) & (F.col("size") > 0) & (F.col("b1") == F.col("c1")) & (F.col("b2") == F.col("c2"))
-    clear = (F.col("p") > 0) & (F.col("c1").isNull() | (F.col("b1") < F.col("c1")) | ((F.col("b1") == F.col("c1")) & (F.col("b2") < F.col("c2"))))
+    q = F.when(F.col("p") >= 1, 0.0).when((F.col("p") > 0) & (F.col("size") > 0), u / (1 - u) * (1 - F.col("p")) / F.col("p"))
+    rows = rows.drop("class", "k").withColumn("v", q / (1 + q)).withColumn("bin", F.least(F.floor(F.col("v") * BINS), F.lit(BINS - 1)).cast("int"))
+    rows = cut(rows, "mix-rows")
+
+    drawn = rows.where("v IS NOT NULL AND size > 0")
+    run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = drawn.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("room")).withColumn("upto", F.sum("words").over(run))
+    cross = bins.where("upto >= room AND upto - words < room").select("source", F.col("bin").alias("at"), (F.col("room") - F.col("upto") + F.col("words")).alias("left"))
+    near = same_source(drawn, cut(cross, "mix-bins"), F.col("bin") == F.col("at"))
     rank = Window.partitionBy("source").orderBy("v", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    tail = rows.where(last).withColumn("cum", F.sum("size").over(rank)).withColumn("drawn", (F.col("cum") - F.col("size") / 2.0 <= F.col("left2")).cast("int")).drop("cum")
-    rest = rows.where(~F.coalesce(last, F.lit(False))).withColumn("drawn", F.coalesce(clear, F.lit(False)).cast("int"))
-    out = rest.unionByName(tail).withColumn("copies", F.col("whole") + F.col("drawn"))
-    return out.select("doc_id", "source", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", F.col("copies").cast("long"), (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.col("p").alias("inclusion"))
-
+    taken = near.withColumn("upto", F.sum("size").over(rank)).groupBy("source").agg(F.first("at").alias("at"), F.max(F.when(F.col("upto") - F.col("size") / 2.0 <= F.col("left"), F.struct("v", F.coalesce("doc_id", F.lit(-(2**63))).alias("i")))).alias("last"))
+    rows = same_source(rows, cut(taken, "mix-cuts"), how="left")
 
-def crossing(bins: DataFrame, by: str) -> DataFrame:
-    """(source, bin, left): the bin of each source in which the running words reach the room, and the room left there."""
-    run = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
-    bins = bins.withColumn("upto", F.sum("words").over(run))
-    at = (F.col("upto") >= F.col("room")) & (F.col("upto") - F.col("words") < F.col("room"))
-    return bins.where(at).select("source", by, (F.col("room") - F.col("upto") + F.col("words")).alias("left"))
+    me = F.struct("v", F.coalesce("doc_id", F.lit(-(2**63))).alias("i"))
+    under = F.col("at").isNull() | (F.col("bin") < F.col("at")) | ((F.col("bin") == F.col("at")) & F.coalesce(me <= F.col("last"), F.lit(False)))
+    rows = rows.withColumn("copies", F.col("whole") + (F.col("v").isNotNull() & under).cast("int"))
+    return rows.select("doc_id", "source", "size", F.col("source_size").cast("long"), "target", F.col("copies").cast("long"), (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.col("p").alias("inclusion"))
 
 
-def same_source(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+def same_source(a: DataFrame, b: DataFrame, also: Column | None = None, how: str = "inner") -> DataFrame:
     """Join on source where null equals null; Spark broadcasts b only if its size at run time allows."""
     b = b.withColumnRenamed("source", "__s")
-    return a.join(b, F.col("source").eqNullSafe(F.col("__s")), how).drop("__s")
+    on = F.col("source").eqNullSafe(F.col("__s"))
+    return a.join(b, on if also is None else on & also, how).drop("__s")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ family; within a family of several languages, one linear support vector machine
 for each pair of languages votes, with summed margins as the tie-break.
 
 The families come from a small fixed table of language codes; a code that is not in it
-is a family of its own. Models are trained on the driver from
-at most `sample` labelled texts (a documented bound, SAMPLE; the texts with the
-smallest hashes in each language) whose features were counted on the executors.
-Everything else covers all rows and whole texts.
+is a family of its own. Models are trained in one executor task from at most SAMPLE labelled texts, or
+LEAST a language where that is more (the documented bound: with four languages 500 each): in each language
+the distinct texts with the smallest hashes. Every language that has a labelled text with a letter is
+learned, however many languages or copies there are. Everything else covers all rows and whole texts;
+what comes back to the driver is the weights.
 
 Edge cases: null text or text without a letter is `und` with score 0; a table
 without labelled rows predicts `und` throughout; one known language alone is
@@ -19,16 +20,19 @@ are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ringfold.llm.common import filter_rows, map_rows, table, utf8
+from ringfold.plans.shared import cut
 
 SAMPLE = 2000
+LEAST = 16
 BITS = 12
 UND = "und"
 
@@ -75,14 +79,14 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-class Machine:
-    """A linear support vector machine: averaged subgradient steps on the hinge loss with L2 decay."""
+class Machines:
+    """Linear support vector machines side by side, one a column of y: averaged subgradient steps on the hinge loss with L2 decay."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, decay: float = 1e-4, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
-        w, mean = np.zeros(x.shape[1] + 1, dtype=np.float64), np.zeros(x.shape[1] + 1)
+        w, mean = np.zeros((x.shape[1] + 1, y.shape[1])), np.zeros((x.shape[1] + 1, y.shape[1]))
         x = np.hstack([x, np.full((len(x), 1), 0.1, dtype=x.dtype)])
-        weight = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
+        weight = np.where(y > 0, len(y) / (2 * np.maximum(1, (y > 0).sum(axis=0))), len(y) / (2 * np.maximum(1, (y < 0).sum(axis=0))))
         step, seen = 0, 0
         for epoch in range(epochs):
             for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 32)):
@@ -91,16 +95,15 @@ class Machine:
                 bad = y[rows] * (x[rows] @ w) < 1
                 w *= 1 - rate * decay
                 if bad.any():
-                    r = rows[bad]
-                    w += rate / len(rows) * ((weight[r] * y[r]) @ x[r])
+                    w += rate / len(rows) * (x[rows].T @ (bad * weight[rows] * y[rows]))
                 if epoch >= epochs // 3:
                     mean += w
                     seen += 1
         w = mean / max(1, seen)
-        self.w, self.b = w[:-1].astype(np.float32), float(w[-1] * 0.1)
+        self.w, self.b = w[:-1].T.astype(np.float32), w[-1] * 0.1
 
-    def margin(self, x: np.ndarray) -> float:
-        return float(x @ self.w + self.b)
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        return self.w @ x + self.b
 
 
 class Hierarchy:
@@ -113,59 +116,60 @@ class Hierarchy:
             groups.setdefault(family(name), []).append(name)
         self.groups = groups
         fam = np.array([family(v) for v in langs], dtype=object)
-        self.first = {g: Machine(x, np.where(fam == g, 1.0, -1.0)) for g in groups} if len(groups) > 1 else {}
-        self.pairs: dict[tuple[str, str], Machine] = {}
+        self.first = Machines(x, np.where(fam[:, None] == np.array(list(groups), dtype=object), 1.0, -1.0)) if len(groups) > 1 else None
+        self.pairs: dict[tuple[str, str], Machines] = {}
         for members in groups.values():
             for a, b in combinations(members, 2):
                 rows = (lang == a) | (lang == b)
-                self.pairs[a, b] = Machine(x[rows], np.where(lang[rows] == a, 1.0, -1.0))
+                self.pairs[a, b] = Machines(x[rows], np.where(lang[rows] == a, 1.0, -1.0)[:, None])
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         """The language, and the weaker of the two stages' logistic scores."""
         scores, group = [], next(iter(self.groups))
         if self.first:
-            margins = sorted(((m.margin(x), g) for g, m in self.first.items()), reverse=True)
-            group = margins[0][1]
-            scores.append(margins[0][0] - margins[1][0])
+            margins = self.first.margins(x)
+            best, second = np.argsort(-margins, kind="stable")[:2]
+            group = list(self.groups)[best]
+            scores.append(float(margins[best] - margins[second]))
         members = self.groups[group]
         votes, sums = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0)
         for a, b in combinations(members, 2):
-            m = self.pairs[a, b].margin(x)
+            m = float(self.pairs[a, b].margins(x)[0])
             votes[a if m >= 0 else b] += 1
             sums[a], sums[b] = sums[a] + m, sums[b] - m
         ranked = sorted(members, key=lambda v: (-votes[v], -sums[v], v))
         if len(members) > 1:
             best, second = ranked[:2]
-            m = self.pairs[min(best, second), max(best, second)].margin(x)
+            m = float(self.pairs[min(best, second), max(best, second)].margins(x)[0])
             scores.append(abs(m) * 2)
         return ranked[0], float(min((1 / (1 + np.exp(-2 * s)) for s in scores), default=1.0))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
-    """Train from (doc_id, text, lang); at most `sample` rows, spread over the languages, reach the driver, as features."""
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()}
-    if not counts:
-        return None
-    each = max(1, sample // len(counts))
-    # a share of the hash space for each language, and each text once however many copies it has
-    keyed = labelled.where(F.col("lang").isin(list(counts))).withColumn("key", F.xxhash64("text"))
-    edge = F.coalesce(*[F.when(F.col("lang") == v, F.lit(min(1.0, 1.25 * each / n))) for v, n in counts.items()])
-    picked = keyed.where(F.pmod(F.col("key"), F.lit(1 << 20)) < edge * (1 << 20))
-    picked = picked.groupBy("lang", "key").agg(F.first("text").alias("text")).limit(2 * sample).select("lang", "text", "key")
-
-    def counted(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for lang, text, key in rows:
-            if has_letter(text):
-                yield lang, key, features(text).tobytes()
-
-    got: dict[str, list[tuple[int, bytes]]] = {}
-    for r in sorted(map_rows(picked, counted, "lang string, key long, x binary").toLocalIterator(), key=lambda r: (r.lang, r.key)):
-        if len(got.setdefault(r.lang, [])) < each:
-            got[r.lang].append((r.key, bytes(r.x)))
-    rows = [(v, x) for v, xs in got.items() for _, x in xs]
-    if not rows:
-        return None
-    return Hierarchy(np.stack([np.frombuffer(x, dtype=np.float32) for _, x in rows]), [v for v, _ in rows])
+def fit(labelled: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Hierarchy | None:
+    """Train from (doc_id, text, lang) in one task; the driver gets the weights."""
+    keyed = labelled.where(F.col("lang").isNotNull() & F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"\p{L}"))).select("lang", "text", F.xxhash64("text").alias("key"))
+    # a share of the hash space for each language by how many different texts it has; few texts are all taken
+    kinds = cut(keyed.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")), "language-kinds")
+    each = F.greatest(F.lit(least), F.floor(F.lit(sample) / F.greatest(F.lit(1), F.count("*").over(Window.partitionBy()))))
+    edges = kinds.withColumn("each", each).select(F.col("lang").alias("__lang"), "each", F.when(F.col("n") > 4 * F.col("each"), 1.5 * F.col("each") / F.col("n")).otherwise(1.0).alias("edge"))
+    picked = keyed.join(edges, F.col("lang") == F.col("__lang"))
+    picked = picked.where(F.pmod("key", F.lit(1 << 20)) < F.col("edge") * (1 << 20)).groupBy("lang", "key").agg(F.first("text").alias("text"), F.first("each").alias("each"))
+    picked = picked.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 20)), "key"))).where(F.col("nth") <= F.col("each"))
+    vectors = map_rows(picked.select("lang", "text", "key"), _counted, "lang string, key long, x binary")
+    weights = map_rows(cut(vectors, "language-sample").coalesce(1), _trained, "model binary").collect()
+    return pickle.loads(bytes(weights[0].model)) if weights else None
+
+
+def _counted(rows: Iterable[tuple]) -> Iterator[tuple]:
+    for lang, text, key in rows:
+        if has_letter(text):
+            yield lang, key, features(text).tobytes()
+
+
+def _trained(rows: Iterable[tuple]) -> Iterator[tuple]:
+    got = sorted(rows)
+    if got:
+        yield (pickle.dumps(Hierarchy(np.stack([np.frombuffer(x, dtype=np.float32) for _, _, x in got]), [v for v, _, _ in got])),)
 
 
 def predictor(model: Hierarchy | None) -> Callable[[str | None], tuple[str, float]]:
