@@ -163,32 +163,38 @@ def find_links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b) pairs of representatives whose components are those of all links."""
     keys = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", at, n)) for i, (at, n) in enumerate(bands(percent))])
     posts = classes.select("rep", F.explode(keys).alias("band"))
-    shared = posts.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
+    shared = cut(posts.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band"), "minhash-bands")
     contested = posts.join(shared, "band", "left_semi").select("rep").distinct()
     sigs = cut(classes.join(contested, "rep", "left_semi").select("rep", "n", "sig"), "minhash-contested")
     texts = cut(docs.withColumnRenamed("doc_id", "rep").join(sigs.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "text"]), "minhash-texts")
 
-    prefix = cut(prefix_postings(sigs, prefix_length(percent)), "minhash-prefix")
+    ranked = cut(rarest(sigs, prefix_length(percent)), "minhash-prefix")
+    prefix = ranked.select(F.explode("prefix").alias("key"), "rep", "n", "common")
+    # hubs and all other sides that aggregates make are tables, so that Spark can split a join on a key with very many rows
     hub = prefix.groupBy("key").agg(F.max(F.struct("common", F.negative("rep").alias("m"))).alias("h"), F.count("*").alias("c")).where("c > 1").select("key", (-F.col("h.m")).alias("b"))
-    met = prefix.join(hub, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    met = prefix.select("key", "rep").join(cut(hub, "minhash-hubs"), "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    met = cut(met, "minhash-met")
     first = cut(confirm(collide(met, sigs, percent), texts, percent), "minhash-first")
 
     parts = connected_components(first)
-    placed = prefix.join(parts, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
-    placed = cut(placed.join(open_keys, "key", "left_semi"), "minhash-open")
-    left = across(placed, supported(placed.select("rep").distinct(), texts), met, sigs, percent)
+    placed = ranked.join(parts, F.col("rep") == F.col("node"), "left").select("rep", "n", "prefix", F.coalesce("component", "rep").alias("part"))
+    placed = cut(placed, "minhash-parts")
+    keyed = placed.select(F.explode("prefix").alias("key"), "rep", "part")
+    open_keys = cut(keyed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c"), "minhash-open")
+    left = across(placed, keyed.join(open_keys, "key"), texts, met, sigs, percent)
     return first.unionByName(confirm(left, texts, percent))
 
 
-def prefix_postings(sigs: DataFrame, length: int) -> DataFrame:
-    """key, rep, n, pos, common: each document's `length` rarest coordinate values, those that nobody shares skipped."""
+def rarest(sigs: DataFrame, length: int) -> DataFrame:
+    """rep, n, common, prefix: each document's `length` rarest coordinate values, those that nobody shares skipped.
+
+    Postings are (coordinate, value) pairs; `common` grows with how many documents share the values of a document.
+    """
     posts = sigs.select("rep", "n", F.posexplode("sig").alias("at", "value")).select("rep", "n", F.xxhash64("at", "value").alias("key"))
-    times = posts.groupBy("key").agg(F.count("*").alias("times"))
-    each = posts.join(times, "key").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("times", "key"))).alias("p"))
-    common = F.aggregate("p", F.lit(0.0), lambda acc, x: acc + F.log2(x["times"].cast("double")))
-    rows = each.select("rep", "n", common.alias("common"), F.posexplode(F.slice("p", 1, length)).alias("pos", "x"))
-    return rows.where("x.times > 1").select(F.col("x.key").alias("key"), "rep", "n", "pos", "common")
+    times = cut(posts.groupBy("key").agg(F.count("*").alias("times")).where("times > 1"), "minhash-times")
+    each = posts.join(times, "key").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("times", "key"))).alias("p"), F.sum(F.log2(F.col("times").cast("double"))).alias("common"))
+    # a value that nobody shares is rarer than any that is shared: those a document lacks in p stand before it
+    return each.select("rep", "n", "common", F.transform(F.slice("p", 1, F.greatest(F.lit(0), length - (K - F.size("p")))), lambda x: x["key"]).alias("prefix"))
 
 
 def collide(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
@@ -197,13 +203,13 @@ def collide(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     two = sigs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
     same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x)
     both = pairs.join(one, "a").join(two, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (same >= matches(percent)))
-    return both.select("a", "b").distinct()
+    return both.select("a", "b")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
     a, b = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-    return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb"), lambda rows: _confirmed(rows, percent), "a long, b long").distinct()
+    return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb"), lambda rows: _confirmed(rows, percent), "a long, b long")
 
 
 def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -211,7 +217,7 @@ def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
     rows = map_rows(texts.join(reps, "rep", "left_semi"), _spelled, "rep long, s array<bigint>").select("rep", F.explode("s").alias("s"))
     rows = cut(rows, "minhash-shingles")
     shared = rows.groupBy("s").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("s")
-    return rows.join(shared, "s", "left_semi").groupBy("rep").agg(F.count("*").alias("r"))
+    return rows.join(cut(shared, "minhash-common"), "s", "left_semi").groupBy("rep").agg(F.count("*").alias("r"))
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -242,20 +248,20 @@ def _merged(block: pa.Table, percent: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in out], schema=_PAIRS)
 
 
-def across(placed: DataFrame, support: DataFrame, met: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+def across(placed: DataFrame, posted: DataFrame, texts: DataFrame, met: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that can still be linked; pairs already met are left out.
 
-    Posting lists are merged in blocks of about BLOCK documents: a short list is one task's
-    group, a long one as many groups as it has pairs of blocks. Only pairs with enough
-    collisions leave a group.
+    placed: rep, n, prefix, part. posted: key, rep, c of the lists that hold several components, c documents each.
+    Lists are merged in blocks of about BLOCK documents: a short list is one group, a long one as many
+    groups as it has pairs of blocks, each dealt on its own. Only pairs with enough collisions leave a group.
     """
-    rows = placed.join(support, "rep").where(100 * F.col("r") >= percent * F.col("n")).join(sigs.select("rep", "sig"), "rep")
-    rows = rows.join(placed.groupBy("rep").agg(F.collect_set("key").alias("prefix")), "rep")
-    lists = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
-    rows = rows.join(lists, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    posted = cut(posted.select("key", "rep", "c"), "minhash-posted")
+    support = supported(posted.select("rep").distinct(), texts)
+    able = placed.join(support, "rep").where(100 * F.col("r") >= percent * F.col("n")).join(sigs.select("rep", "sig"), "rep")
+    rows = posted.join(cut(able, "minhash-able"), "rep").withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     rows = rows.select("key", "rep", "n", "r", "part", "side", "sig", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    rows = rows.withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")})
-    pairs = rows.groupBy("key", "lo", "hi").applyInArrow(lambda block: _merged(block, percent), "a long, b long")
+    rows = rows.withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")}).drop("other")
+    pairs = rows.repartition("key", "lo", "hi").groupBy("key", "lo", "hi").applyInArrow(lambda block: _merged(block, percent), "a long, b long")
     known = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(known, ["a", "b"], "left_anti")
 
