@@ -1,18 +1,22 @@
-"""Line dedup by hashes of whole windows of lines, in DataFrame functions only.
-
-A run is a row of consecutive lines; lines without a word are skipped over and
-never removed. For every line two windows are formed: the shortest run of
-MIN_WORDS words or more that begins there, and the shortest that ends there.
-Every window is posted under the hash of its whole content (and its smallest line hash,
-which follows from it), so any run of MIN_WORDS words that stands in two places is found. This
-replaces winnowing: nothing is sampled, and as the windows of all lines cover a repeated
-run to both its ends, no match has to be extended.
-A line goes if it lies in a window that stands earlier, in order of
-(doc_id, hash of the text, line), in any document or the same one.
-
-A fingerprint is never collected: its first position is a minimum with map-side
-combination, and the join back to all positions is one Spark can split when a
-line is very common.
+"""Line dedup by winnowing over line hashes, in DataFrame functions only.
+
+Lines without a word are skipped over and never removed. A window is the shortest run of consecutive lines that
+begins at a line and has MIN_WORDS words or more.
+
+1. Winnowing. In every window the line of the smallest hash (the last one of equal ones) is its fingerprint;
+   neighbouring windows mostly share it and post it once. As equal runs have equal windows, every run of
+   MIN_WORDS words that stands in two places has a fingerprint in both: it is guaranteed.
+2. Positions are joined on the fingerprint alone: of all windows only those go on whose
+   fingerprint stands at two places.
+3. A shared fingerprint is extended both ways, line by line until MIN_WORDS words are reached: to the right to the ends of its
+   windows, and to the left to the shortest runs that end at a line and begin with one of its windows. A repeated run
+   is covered by its extensions from its first line to its last. Extensions of equal content meet by
+   their hashes (96 bits beside the fingerprint); only the first place of each is kept, so no pairs of places are formed.
+4. A line goes if it lies in an extension that stands earlier, in order of
+   (doc_id, hash of the text, line), in any document or the same one.
+
+A fingerprint is never collected: first places are minima with map-side combination, and both joins deal a key to
+SALTS tasks, so a line that stands in a third of all documents is no hot task.
 
 Edge cases: null text stays null and empty text empty; lines are compared without
 leading and trailing ASCII white space; rows with equal doc_id and text are one
@@ -30,44 +34,69 @@ from ringfold.llm.common import BLANKS, WORD, fresh, table
 from ringfold.plans.shared import cut
 
 MIN_WORDS = 25
+SALTS = 16
 
 
 def content(text: Column) -> Column:
-    """array<struct(pos, h, nw)> of the lines with a word."""
+    """array<struct(pos, h, g, nw)> of the lines with a word: place, two hashes, words."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    seen = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(F.trim(x, F.lit(BLANKS))).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("nw")))
+    bare = lambda x: F.trim(x, F.lit(BLANKS))
+    seen = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(bare(x)).alias("h"), F.hash(bare(x)).alias("g"), F.regexp_count(x, F.lit(WORD)).alias("nw")))
     return F.filter(seen, lambda s: s["nw"] > 0)
 
 
 def reach(nw: Column, least: int) -> Column:
-    """How many leading entries of the array nw add up to `least`; 0 if all of them don't."""
-    start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("n"))
-    more = lambda a, x: F.when(a["words"] >= least, a).otherwise(F.struct((a["words"] + x).alias("words"), (a["n"] + 1).alias("n")))
-    return F.aggregate(nw, start, more, lambda a: F.when(a["words"] >= least, a["n"]).otherwise(0))
+    """How many leading entries of the array nw add up to `least`; 0 if all of them don't. One long holds (words, entries)."""
+    done = F.lit(least << 32).cast("long")
+    more = lambda a, x: F.when(a >= done, a).otherwise(a + F.shiftleft(x.cast("long"), 32) + 1)
+    return F.aggregate(nw, F.lit(0).cast("long"), more, lambda a: F.when(a >= done, a.bitwiseAND(F.lit((1 << 32) - 1).cast("long"))).otherwise(0).cast("int"))
 
 
-def windows(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """doc_id, th, first, last, fp, key: the windows of each document by original line numbers."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), content(F.col("text")).alias("c"))
-    d = d.select("doc_id", "th", F.col("c.pos").alias("pos"), F.col("c.h").alias("h"), F.col("c.nw").alias("nw"))
+def fingerprinted(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """doc_id, th, pos, h, g, nw, ahead, fp: the lines of each document as arrays, with the length of the window at each line
+    (0: no window) and the place of its fingerprint, from 1."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), content(F.col("text")).alias("c")).where(F.size("c") > 0)
+    d = d.select("doc_id", "th", *[F.col(f"c.{n}").alias(n) for n in ("pos", "h", "g", "nw")])
     at = F.sequence(F.lit(1), F.size("pos"))
-    ahead = F.transform(at, lambda i: F.struct(i.alias("a"), reach(F.slice(F.col("nw"), i, least), least).alias("n")))
+    # a line that has the words alone, as most have, needs no look at those after it
+    one = lambda i: F.element_at("nw", i) >= least
+    d = d.withColumn("ahead", F.transform(at, lambda i: F.when(one(i), 1).otherwise(reach(F.slice("nw", i, least), least))))
+    lowest = lambda i, n: F.negative(F.array_min(F.transform(F.slice("h", i, n), lambda x, k: F.struct(x.alias("h"), F.negative(i + k).alias("m"))))["m"])
+    return d.withColumn("fp", F.transform("ahead", lambda n, k: F.when(n == 1, k + 1).when(n > 1, lowest(k + 1, n)).otherwise(0)))
+
+
+def extensions(lines: DataFrame, least: int) -> DataFrame:
+    """fp, key, more, doc_id, th, first, last: for each window, and each shortest run that ends at a line, the hash of the
+    fingerprint it is extended from, its own content's hashes and its place by original line numbers."""
+    at = F.sequence(F.lit(1), F.size("pos"))
+    right = F.transform("ahead", lambda n, k: F.struct((k + 1).alias("a"), n.alias("n")))
     low = lambda i: F.greatest(F.lit(1), i - (least - 1))
-    back = F.transform(at, lambda i: F.struct(i.alias("b"), reach(F.reverse(F.slice(F.col("nw"), low(i), i - low(i) + 1)), least).alias("n")))
-    back = F.transform(back, lambda s: F.struct((s["b"] - s["n"] + 1).alias("a"), s["n"].alias("n")))
-    spans = F.array_distinct(F.filter(F.concat(ahead, back), lambda s: s["n"] > 0))
-    d = d.select("doc_id", "th", "pos", "h", F.explode(F.when(F.size("pos") > 0, spans)).alias("s"))
-    run = F.slice(F.col("h"), F.col("s.a"), F.col("s.n"))
-    place = lambda k: F.element_at("pos", k)
-    return d.select("doc_id", "th", place(F.col("s.a")).alias("first"), place(F.col("s.a") + F.col("s.n") - 1).alias("last"), F.array_min(run).alias("fp"), F.xxhash64(run).alias("key"))
+    back = lambda i: F.when(F.element_at("nw", i) >= least, 1).otherwise(reach(F.reverse(F.slice("nw", low(i), i - low(i) + 1)), least))
+    left = F.transform(F.transform(at, lambda i: F.struct(i.alias("b"), back(i).alias("n"))), lambda s: F.struct((s["b"] - s["n"] + 1).alias("a"), s["n"].alias("n")))
+    each = lines.select("doc_id", "th", "pos", "h", "g", "fp", F.explode(F.array_distinct(F.filter(F.concat(right, left), lambda s: s["n"] > 0))).alias("s"))
+    run = lambda c: F.slice(F.col(c), F.col("s.a"), F.col("s.n"))
+    place = lambda c, k: F.element_at(c, k)
+    fp = place("h", place("fp", F.col("s.a")))
+    return each.select(fp.alias("fp"), F.xxhash64(run("h")).alias("key"), F.hash(run("g")).alias("more"), "doc_id", "th", place("pos", F.col("s.a")).alias("first"), place("pos", F.col("s.a") + F.col("s.n") - 1).alias("last"))
+
+
+def salted(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """rows joined with few, which has each key once; a key of rows is dealt to SALTS tasks by document."""
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS)).cast("int"))
+    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(few, [*keys, "__salt"], how).drop("__salt")
 
 
 def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, th, gone: the numbers of the lines (from 0, blank ones within a run among them) to remove."""
-    w = cut(windows(docs, least), "line-windows")
+    lines = cut(fingerprinted(docs, least), "line-fingerprints")
+    posts = lines.select("doc_id", "th", "h", F.explode(F.array_distinct(F.filter("fp", lambda k: k > 0))).alias("k")).select(F.element_at("h", F.col("k")).alias("fp"), F.struct("doc_id", "th", "k").alias("place"))
+    shared = cut(posts.groupBy("fp").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo <> hi").select("fp"), "line-shared")
+    runs = cut(salted(extensions(lines, least), shared, ["fp"], "left_semi"), "line-runs")
+    content_ = ["fp", "key", "more"]
     place = F.struct("doc_id", "th", "first")
-    firsts = w.groupBy("fp", "key").agg(F.min(place).alias("origin"), F.max(place).alias("end")).where(F.col("origin") != F.col("end")).drop("end")
-    later = w.join(firsts, ["fp", "key"]).where(~F.struct("doc_id", "th", "first").eqNullSafe(F.col("origin")))
+    firsts = cut(runs.groupBy(*content_).agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin <> end").drop("end"), "line-firsts")
+    later = salted(runs, firsts, content_, "inner").where(~place.eqNullSafe(F.col("origin")))
     return later.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("gone"))
 
 
