@@ -30,17 +30,60 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(lengths: Column, block: int = 64) -> Column:
+    """For each entry of an array of numbers the sum of those before it, in linear time: sums of blocks, then sums within a block."""
+    add = lambda acc, x: acc + x
+    zero = F.lit(0).cast("long")
+
+    def before(sums: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(sums, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    def of(all_: Column) -> Column:
+        firsts = F.filter(F.transform(all_, lambda _, k: F.when(k % block == 0, k + 1)), lambda k: k.isNotNull())
+        sums = F.transform(firsts, lambda k: F.aggregate(F.slice(all_, k, block), zero, add))
+        place = lambda k: F.floor(k / block).cast("int")
+        return let(before(sums), lambda p: F.transform(all_, lambda _, k: F.element_at(p, place(k) + 1) + F.aggregate(F.slice(all_, place(k) * block + 1, k % block), zero, add)))
+
+    return let(F.transform(lengths, lambda x: x.cast("long")), of)
+
+
+SALTS = 16
+
+
+def salted(rows: DataFrame, few: DataFrame, keys: list[str], by: list[str], how: str) -> DataFrame:
+    """rows joined with few, which has each key once; the rows of a key are dealt to SALTS tasks by the columns `by`."""
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(few, [*keys, "__salt"], how).drop("__salt")
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+def bounded(spark: SparkSession) -> None:
+    """Arrow batches of 500 rows and 16 MB at most. Spark reads this when the plan runs, so it stays set in the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
+#: An output batch ends at so many rows or so many characters, bytes and entries.
+ROWS, WEIGHT = 500, 8 << 20
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
-    """mapInArrow with a generator over row tuples; output leaves in batches of 500 rows.
+    """mapInArrow with a generator over row tuples; batches in and out are bounded by rows and by size.
 
     fn gets an iterator over the input rows of one task and yields output tuples.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    bounded(spark)
     arrow = pa.schema([(f.name, _arrow(f.dataType.simpleString())) for f in spark.createDataFrame([], schema).schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,11 +92,13 @@ def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], sc
                 yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
         held: list[tuple] = []
+        weight = 0
         for out in fn(rows()):
             held.append(out)
-            if len(held) >= 500:
+            weight += sum(len(x) for x in out if isinstance(x, (str, bytes, list)))
+            if len(held) >= ROWS or weight >= WEIGHT:
                 yield _batch(held, arrow)
-                held = []
+                held, weight = [], 0
         if held:
             yield _batch(held, arrow)
 
@@ -65,7 +110,7 @@ def filter_rows(df: DataFrame, column: str, keep: Callable[[], Callable[[object]
 
     keep() is called once a task and returns the test.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    bounded(df.sparkSession)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

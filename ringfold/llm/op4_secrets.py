@@ -31,13 +31,12 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import table
+from ringfold.llm.common import let, running, table
 from ringfold.plans.shared import cut
 
 #: kind: (pattern, group whose length counts, least length), in the order of the list.
@@ -58,19 +57,16 @@ ALPHABETS = {"hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base64": UPP
 def spans(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
     """array<struct(s, e, m)> of the leftmost matches that do not overlap; m is the match.
 
-    The pieces between matches and the matches add up to the positions.
+    The running sum of the pieces between matches and the matches gives the positions, in linear time.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.length(x["f"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["f"].alias("m")))).alias("out"))
+    def placed_(x: Column) -> Column:
+        steps = F.transform(x["found"], lambda m, k: F.length(m) + F.length(x["pieces"][k]))
+        return F.transform(F.arrays_zip(running(steps).alias("at"), x["found"].alias("m"), F.slice(x["pieces"], 1, F.size(x["found"])).alias("p")), lambda y: let((y["at"] + F.length(y["p"])).cast("int"), lambda s: F.struct(s.alias("s"), (s + F.length(y["m"])).alias("e"), y["m"].alias("m"))))
 
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, f: F.struct(p.alias("p"), f.alias("f")))
-    all_ = F.aggregate(pairs, start, step)["out"]
+    all_ = let(F.struct(found.alias("found"), pieces.alias("pieces")), placed_)
     measured = (lambda m: F.length(F.regexp_extract(m, pattern, group))) if group else F.length
     kept = F.filter(all_, lambda x: measured(x["m"]) >= least)
     # most texts have no match at all: a plain search is much cheaper than taking them apart
@@ -141,11 +137,6 @@ def placed(found: Column, k: int, kind: str) -> Column:
     return F.transform(found, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), F.lit(kind).alias("kind"), x["e"].alias("e")))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value worked out once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def scored(x: Column) -> Column:
     """struct(s, e, code, class, p) of a candidate struct(s, e, m)."""
 
