@@ -30,18 +30,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import BLANKS, WORD, fresh, table
+from ringfold.llm.common import BLANKS, WORD, fresh, salted, table
 from ringfold.plans.shared import cut
 
 MIN_WORDS = 25
-SALTS = 16
 
 
 def content(text: Column) -> Column:
     """array<struct(pos, h, g, nw)> of the lines with a word: place, two hashes, words."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    bare = lambda x: F.trim(x, F.lit(BLANKS))
-    seen = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(bare(x)).alias("h"), F.hash(bare(x)).alias("g"), F.regexp_count(x, F.lit(WORD)).alias("nw")))
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.trim(x, F.lit(BLANKS)))
+    seen = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), F.hash(x).alias("g"), F.regexp_count(x, F.lit(WORD)).alias("nw")))
     return F.filter(seen, lambda s: s["nw"] > 0)
 
 
@@ -55,9 +53,9 @@ def reach(nw: Column, least: int) -> Column:
 def fingerprinted(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, th, pos, h, g, nw, ahead, fp: the lines of each document as arrays, with the length of the window at each line
     (0: no window) and the place of its fingerprint, from 1."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), content(F.col("text")).alias("c")).where(F.size("c") > 0)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), content(F.col("text")).alias("c"))
     d = d.select("doc_id", "th", *[F.col(f"c.{n}").alias(n) for n in ("pos", "h", "g", "nw")])
-    at = F.sequence(F.lit(1), F.size("pos"))
+    at = F.transform("pos", lambda _, k: k + 1)
     # a line that has the words alone, as most have, needs no look at those after it
     one = lambda i: F.element_at("nw", i) >= least
     d = d.withColumn("ahead", F.transform(at, lambda i: F.when(one(i), 1).otherwise(reach(F.slice("nw", i, least), least))))
@@ -68,7 +66,7 @@ def fingerprinted(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 def extensions(lines: DataFrame, least: int) -> DataFrame:
     """fp, key, more, doc_id, th, first, last: for each window, and each shortest run that ends at a line, the hash of the
     fingerprint it is extended from, its own content's hashes and its place by original line numbers."""
-    at = F.sequence(F.lit(1), F.size("pos"))
+    at = F.transform("pos", lambda _, k: k + 1)
     right = F.transform("ahead", lambda n, k: F.struct((k + 1).alias("a"), n.alias("n")))
     low = lambda i: F.greatest(F.lit(1), i - (least - 1))
     back = lambda i: F.when(F.element_at("nw", i) >= least, 1).otherwise(reach(F.reverse(F.slice("nw", low(i), i - low(i) + 1)), least))
@@ -80,23 +78,16 @@ def extensions(lines: DataFrame, least: int) -> DataFrame:
     return each.select(fp.alias("fp"), F.xxhash64(run("h")).alias("key"), F.hash(run("g")).alias("more"), "doc_id", "th", place("pos", F.col("s.a")).alias("first"), place("pos", F.col("s.a") + F.col("s.n") - 1).alias("last"))
 
 
-def salted(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """rows joined with few, which has each key once; a key of rows is dealt to SALTS tasks by document."""
-    rows = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS)).cast("int"))
-    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(few, [*keys, "__salt"], how).drop("__salt")
-
-
 def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, th, gone: the numbers of the lines (from 0, blank ones within a run among them) to remove."""
     lines = cut(fingerprinted(docs, least), "line-fingerprints")
     posts = lines.select("doc_id", "th", "h", F.explode(F.array_distinct(F.filter("fp", lambda k: k > 0))).alias("k")).select(F.element_at("h", F.col("k")).alias("fp"), F.struct("doc_id", "th", "k").alias("place"))
     shared = cut(posts.groupBy("fp").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo <> hi").select("fp"), "line-shared")
-    runs = cut(salted(extensions(lines, least), shared, ["fp"], "left_semi"), "line-runs")
+    runs = cut(salted(extensions(lines, least), shared, ["fp"], ["doc_id", "th"], "left_semi"), "line-runs")
     content_ = ["fp", "key", "more"]
     place = F.struct("doc_id", "th", "first")
     firsts = cut(runs.groupBy(*content_).agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin <> end").drop("end"), "line-firsts")
-    later = salted(runs, firsts, content_, "inner").where(~place.eqNullSafe(F.col("origin")))
+    later = salted(runs, firsts, content_, ["doc_id", "th"], "inner").where(~place.eqNullSafe(F.col("origin")))
     return later.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("gone"))
 
 
