@@ -1,32 +1,34 @@
 """Main text of web pages: block structure, and the runs that repeat over each whole host.
 
-Parsing. One pass over the tags keeps a stack of open elements. Elements that are never
-main text (navigation, footers, forms, scripts, ...) and elements whose class, id
-or role names them as such (adverts, notices, comments, ...) are left out. The rest
-becomes blocks: white space within one is a single space, character references are decoded.
-A page with an article or main element has its text there.
-
-Host runs. A run is RUN tokens of a page's token stream, all blocks one after another. It is
-repeated if it stands, anywhere on its host, in two or more page_ids and in two or more different streams: pages
-of one and the same stream count as one page, so identical pages keep what one of them would. Text outside an article element
-(all text of a page that has none) loses the tokens that repeated runs cover and keeps its unique runs.
-The text of an article element is kept whole whatever repeats, as the contract of the query asks for;
-`n_repeated` counts the tokens of the page that repeated runs cover.
-
-Equal runs have the same anchor, the smallest hash of their GRAM-token parts, so only about one hash in five tokens is posted
-first; its smallest and largest page and stream combine on the map side. Only runs whose anchor is
+Parsing. One pass over the tags keeps a stack of open elements. Elements that are never main text (navigation,
+footers, forms, scripts, ...) and elements that a class, an id or a role calls so outright (`comments`, `ad`, ...) are left out.
+The rest becomes blocks: white space within one is a single space, character references are decoded.
+A page with an article or main element has its text there. A block of it is in doubt if the name of an element around it only
+contains such a word (`widget-intro`, `related-links`). On a page without an article element every block is in doubt.
+
+Host runs settle the doubt. The blocks in doubt of each page, one after another, are its token stream. A run is RUN
+tokens of it, and repeated if it stands on two or more pages of different text of its host: identical pages
+count as one, so they keep what one of them would. Of a page without an article
+element the tokens that repeated runs cover go and its unique runs stay; within an article a
+block in doubt goes if repeated runs cover half of its tokens or more, and stays whole otherwise.
+
+A suffix array sorts a host's suffixes; to find runs of RUN tokens only their equality to that depth counts, so hashes name
+the runs instead (Karp, Miller and Rosenberg's naming), which needs no host in one task. Equal runs have the same anchor, the
+smallest hash of their GRAM-token parts; about one hash in seven tokens is posted
+first, and its smallest and largest page (by a hash of its text) combine on the map side. Only runs whose anchor is
 shared are posted in turn, by 128 bits of hash with the anchor. What comes back to a stream is the set of its own
 runs that repeat. No step holds more than one page, however large a host is.
 
 Edge cases: null or empty html gives empty text; a null url is a host of its own; unclosed
-elements and tags end with the page; repeated rows are distinct pages only if their page_id differs;
-an empty table gives an empty result; further columns are ignored.
+elements and tags end with the page; repeated rows give each their text; an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,77 +36,125 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import map_rows, table, utf8
+from ringfold.llm.common import map_rows, salted, table, utf8
 from ringfold.llm.op7_minhash import WordHash
 from ringfold.plans.shared import cut
 
 RUN = 16
-GRAM = 8
+GRAM = 4
 
 # Elements by their part in a page.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CHROME = frozenset("head nav footer aside form menu dialog button select option label fieldset svg canvas object audio video math map".split()) | RAW
+CHROME = frozenset("head nav footer aside form menu dialog button select option".split()) | RAW
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSED_BY_SELF = frozenset("li dt dd tr td th option".split())
-#: Words of a class, id or role that mark what is no main text.
+#: Words that, as a whole class, id or role, mark what is no main text, and as a part of one put it in doubt.
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary search".split()
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr menu nav navbar navigation newsletter notice pager pagination popup promo replies respond share sharing sidebar social sponsor sponsored subscribe toolbar contentinfo complementary".split()
 )
+#: Words that put in doubt wherever they stand.
+DOUBTS = NAMES | frozenset("modal promoted related search widget".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
 
-_TAG = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+_OPEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)|<[!?/]")
+_COMMENT_END = re.compile(r"--!?>")
+_STOP = re.compile(r"[>\"']")
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _MAIN = re.compile(r"role\s*=\s*[\"']?main\b", re.I)
 
 
-def named(attrs: str) -> set[str]:
-    """The words of the class, id and role of a tag."""
-    return {w for m in _NAMED.finditer(attrs) for w in re.split(r"[^a-z0-9]+", next(filter(None, m.groups()), "").lower())}
+def named(attrs: str) -> tuple[set[str], set[str]]:
+    """The class, id and role names of a tag, and the words they are made of."""
+    names = {w for m in _NAMED.finditer(attrs) for w in next(filter(None, m.groups()), "").lower().split()}
+    return names, {w for n in names for w in re.split(r"[^a-z0-9]+", n)}
 
 
-def blocks(html: str | None) -> list[tuple[bool, str]]:
-    """(lies in an article, text) for each block of a page that can be main text, in page order."""
+class Tags:
+    """The tags and comments of a page in order; each character is looked at a bounded number of times."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.never = html, set()
+
+    def end(self, at: int) -> int:
+        """Where the tag ends whose attributes begin at `at`; a > within quotes is no end, an unclosed quote is a character like others."""
+        while m := _STOP.search(self.html, at):
+            at = m.end()
+            if m[0] == ">":
+                return at
+            if m[0] not in self.never:
+                close = self.html.find(m[0], at)
+                if close < 0:
+                    self.never.add(m[0])  # nor does any later one close
+                else:
+                    at = close + 1
+        return len(self.html)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str]:
+        """(start, end, closing, name, attributes) of the next tag from `at`; the name is empty for comments and the like."""
+        m = _OPEN.search(self.html, at)
+        if m is None:
+            return len(self.html), -1, False, "", ""
+        if m[2]:
+            end = self.end(m.end())
+            return m.start(), end, bool(m[1]), m[2].lower(), self.html[m.end() : end]
+        if m[0] == "<!--":
+            if self.html.startswith((">", "->"), m.end()):
+                return m.start(), self.html.index(">", m.end()) + 1, False, "", ""
+            stop = _COMMENT_END.search(self.html, m.end())
+            return m.start(), stop.end() if stop else len(self.html), False, "", ""
+        stop = self.html.find(">", m.end())
+        return m.start(), stop + 1 if stop >= 0 else len(self.html), False, "", ""
+
+
+SURE, DOUBT, OUTSIDE = 0, 1, 2
+
+
+def blocks(html: str | None) -> list[tuple[int, str]]:
+    """(SURE or DOUBT in an article, or OUTSIDE of one; text) for each block of a page that can be main text, in page order."""
     if not html:
         return []
-    out: list[tuple[bool, str]] = []
+    out: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, left out, in an article
-    skip = inside = False
-    at, size = 0, len(html)
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, left out, in an article, in doubt
+    opened: dict[str, int] = defaultdict(int)
+    skip = inside = doubt = False
+    tags, at, size = Tags(html), 0, len(html)
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((inside, text))
+                out.append(((DOUBT if doubt else SURE) if inside else OUTSIDE, text))
             parts.clear()
 
     def pop_to(n: int) -> None:
-        nonlocal skip, inside
-        if any(name in BLOCK for name, _, _ in stack[n:]):
+        nonlocal skip, inside, doubt
+        if any(x[0] in BLOCK for x in stack[n:]):
             flush()
+        for x in stack[n:]:
+            opened[x[0]] -= 1
         del stack[n:]
-        skip, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        skip, inside, doubt = stack[-1][1:] if stack else (False, False, False)
 
     while at < size:
-        m = _TAG.search(html, at)
-        if not skip and (m is None or m.start() > at):
-            parts.append(entities.unescape(html[at : m.start() if m else size]))
-        if m is None:
+        start, end, close, name, attrs = tags.next(at)
+        if not skip and start > at:
+            parts.append(entities.unescape(html[at:start]))
+        if end < 0:
             break
-        at = m.end()
-        close, name, attrs = (m[1], m[2], m[3]) if m[2] else (m[5], m[6], m[7])
+        at = end
         if not name:
             continue
-        name = name.lower()
         if name == "br" and not skip:
             parts.append(" ")
         if close:
-            n = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if n >= 0:
+            if opened[name]:
+                n = len(stack) - 1
+                while stack[n][0] != name:
+                    n -= 1
                 pop_to(n)
             continue
         if name in BLOCK:
@@ -117,57 +167,25 @@ def blocks(html: str | None) -> list[tuple[bool, str]]:
                     break
             flush()
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else size
+            stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
+            at = stop.end() if stop else size
             continue
         if name in VOID:
             continue
-        words = named(attrs) if attrs and not skip else ()
+        names, words = named(attrs) if attrs and not skip else ((), ())
         main = name in ("article", "main") or bool(attrs and _MAIN.search(attrs))
-        out_of = skip or name in CHROME or bool(words and not main and NAMES & words) or (not inside and (name == "header" or bool(words and HEADER_NAMES & words)))
-        stack.append((name, out_of, inside or (main and not out_of)))
-        if out_of != skip or stack[-1][2] != inside:
+        header = not inside and (name == "header" or bool(words and HEADER_NAMES & words))
+        out_of = skip or name in CHROME or header or bool(names and not main and NAMES & names)
+        unsure = doubt or bool(words and not main and DOUBTS & words)
+        if (out_of, unsure, inside or (main and not out_of)) != (skip, doubt, inside):
             flush()
-        skip, inside = out_of, stack[-1][2]
+        skip, inside, doubt = out_of, inside or (main and not out_of), unsure
+        stack.append((name, skip, inside, doubt))
+        opened[name] += 1
     flush()
     return out
 
 
-def repeated(streams: list[list[str]], pages: list[int], run: int = RUN) -> list[np.ndarray]:
-    """For each token stream the mask of tokens within substrings of `run` tokens that stand in two or more distinct pages.
-
-    pages: the page number of each stream.
-    """
-    ids: dict[str, int] = {}
-    total = sum(len(s) + 1 for s in streams)
-    text, page = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64)
-    at, starts = 0, []
-    for k, (s, p) in enumerate(zip(streams, pages, strict=True)):
-        starts.append(at)
-        text[at : at + len(s)] = [ids.setdefault(w, len(ids)) for w in s]
-        text[at + len(s)] = -1 - k  # a separator that equals nothing else
-        page[at : at + len(s) + 1] = p
-        at += len(s) + 1
-    _, rank = np.unique(text, return_inverse=True)
-    depth = 1
-    while depth < run:
-        step = min(depth, run - depth)
-        later = np.zeros(total, dtype=np.int64)
-        later[: max(0, total - step)] = rank[step:] + 1
-        _, rank = np.unique(rank * np.int64(total + 1) + later, return_inverse=True)
-        depth += step
-    suffixes = np.lexsort((page, rank))  # the suffix array to depth `run`, pages in order among equals
-    r, g = rank[suffixes], page[suffixes]
-    first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-    last = np.r_[first[1:], len(r)] - 1
-    wide = np.repeat(g[first] != g[last], last - first + 1)
-    edge = np.zeros(total + run + 1, dtype=np.int64)
-    np.add.at(edge, suffixes[wide], 1)
-    np.add.at(edge, suffixes[wide] + run, -1)
-    covered = np.cumsum(edge)[:total] > 0
-    return [covered[a : a + len(s)] for a, s in zip(starts, streams, strict=True)]
-
-
 def mixed(h: np.ndarray, size: int, seed: int) -> np.ndarray:
     """64-bit hashes of each `size` neighbours of h."""
     n = len(h) - size + 1
@@ -189,26 +207,29 @@ def runs(host: str, texts: list[str], cache: WordHash) -> tuple[np.ndarray, np.n
     return parts.min(axis=1).view(np.int64), mixed(h, RUN, seed ^ 0x5BD1E995).view(np.int64)
 
 
-def _parsed(rows: Iterable[tuple]) -> Iterator[tuple]:
-    for page_id, url, host, html in rows:
-        found = blocks(html)
-        texts = [x for _, x in found]
-        d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(utf8(host + "\0" + " ".join(texts))), dtype=np.int64).tolist()
-        yield page_id, url, host, d1, d2, texts, [int(i) for i, _ in found]
+def in_doubt(kinds: list[int]) -> list[bool]:
+    """Of the blocks of a page, those that its stream has; a page with an article has no OUTSIDE ones here."""
+    return [k != SURE for k in kinds]
 
 
-def _anchored(rows: Iterable[tuple]) -> Iterator[tuple]:
+def _parsed(rows: Iterable[tuple]) -> Iterator[tuple]:
     cache = WordHash()
-    for page, d1, d2, host, texts in rows:
-        yield page, d1, d2, np.unique(runs(host, texts, cache)[0]).tolist()
+    for page_id, url, host, html in rows:
+        found = blocks(html)
+        if any(k != OUTSIDE for k, _ in found):
+            found = [x for x in found if x[0] != OUTSIDE]
+        texts, kinds = [t for _, t in found], [k for k, _ in found]
+        open_ = [t for t, d in zip(texts, in_doubt(kinds), strict=True) if d]
+        stream = xxhash.xxh3_64_intdigest(utf8("\0".join([host, *texts]))) - (1 << 63)
+        yield page_id, url, host, stream, texts, kinds, np.unique(runs(host, open_, cache)[0]).tolist()
 
 
 def _shared(rows: Iterable[tuple]) -> Iterator[tuple]:
     cache = WordHash()
-    for page, d1, d2, host, texts, shared in rows:
-        a, w = runs(host, texts, cache)
+    for stream, host, texts, kinds, shared in rows:
+        a, w = runs(host, [t for t, d in zip(texts, in_doubt(kinds), strict=True) if d], cache)
         both = np.unique(np.stack([a, w])[:, np.isin(a, shared)], axis=1)
-        yield page, d1, d2, both[0].tolist(), both[1].tolist()
+        yield stream, both[0].tolist(), both[1].tolist()
 
 
 _OUT = "page_id long, url string, text string, n_chars long, n_tokens long, n_repeated long"
@@ -216,43 +237,43 @@ _OUT = "page_id long, url string, text string, n_chars long, n_tokens long, n_re
 
 def _cleaned(rows: Iterable[tuple]) -> Iterator[tuple]:
     cache = WordHash()
-    for page_id, url, host, texts, insides, again in rows:
-        words = [x.split(" ") for x in texts]
+    for page_id, url, host, texts, kinds, again in rows:
+        words = [t.split(" ") if d else [] for t, d in zip(texts, in_doubt(kinds), strict=True)]
         mask = np.zeros(sum(map(len, words)), dtype=bool)
         if again:
-            for at in np.flatnonzero(np.isin(runs(host, texts, cache)[1], again)).tolist():
+            found = runs(host, [t for t, d in zip(texts, in_doubt(kinds), strict=True) if d], cache)[1]
+            for at in np.flatnonzero(np.isin(found, again)).tolist():
                 mask[at : at + RUN] = True
-        article, at, kept = any(insides), 0, []
-        for text, inside, b in zip(texts, insides, words, strict=True):
+        at, kept = 0, []
+        for text, kind, b in zip(texts, kinds, words, strict=True):
             covered, at = mask[at : at + len(b)], at + len(b)
-            if inside:
+            if kind == SURE or (kind == DOUBT and 2 * covered.sum() < len(b)):
                 kept.append(text)
-            elif not article and not covered.all():
+            elif kind == OUTSIDE and not covered.all():
                 kept.append(" ".join(w for w, c in zip(b, covered, strict=True) if not c))
         text = "\n".join(kept)
         yield page_id, url, text, len(text), len(mask), int(mask.sum())
 
 
-def in_two_pages(posts: DataFrame, *keys: str) -> DataFrame:
-    """The keys that stand in two or more pages and in two or more streams."""
-    ends = [f(c).alias(f"{n}_{c}") for c in ("page", "d1", "d2") for n, f in (("lo", F.min), ("hi", F.max))]
-    return posts.groupBy(*keys).agg(*ends).where("lo_page < hi_page AND (lo_d1 < hi_d1 OR lo_d2 < hi_d2)").select(*keys)
+def in_two_streams(posts: DataFrame, *keys: str) -> DataFrame:
+    """The keys that stand in two or more streams."""
+    return posts.groupBy(*keys).agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")).where("lo < hi").select(*keys)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, n_tokens, n_repeated for each row of pages (page_id, url, html)."""
+    """page_id, url, text, n_chars, n_tokens (in doubt), n_repeated (of these) for each row of pages (page_id, url, html)."""
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
-    parsed = cut(map_rows(p, _parsed, "page_id long, url string, host string, d1 long, d2 long, texts array<string>, inside array<int>"), "html-parsed")
-    # a null page_id is a page of its own
-    page = F.coalesce("page_id", F.lit(-(2**63))).alias("page")
-    anchors = map_rows(parsed.select(page, "d1", "d2", "host", "texts"), _anchored, "page long, d1 long, d2 long, a array<bigint>")
-    anchors = cut(anchors.select("page", "d1", "d2", F.explode("a").alias("a")), "html-anchors")
-    shared = anchors.join(in_two_pages(anchors, "a"), "a", "left_semi").groupBy("d1", "d2").agg(F.collect_set("a").alias("shared"))
-    posts = map_rows(parsed.join(shared, ["d1", "d2"]).select(page, "d1", "d2", "host", "texts", "shared"), _shared, "page long, d1 long, d2 long, a array<bigint>, w array<bigint>")
-    posts = cut(posts.select("page", "d1", "d2", F.explode(F.arrays_zip("a", "w")).alias("x")).select("page", "d1", "d2", "x.a", "x.w"), "html-runs")
-    again = posts.join(in_two_pages(posts, "a", "w"), ["a", "w"], "left_semi").groupBy("d1", "d2").agg(F.collect_set("w").alias("again"))
-    return map_rows(parsed.join(again, ["d1", "d2"], "left").select("page_id", "url", "host", "texts", "inside", "again"), _cleaned, _OUT)
+    parsed = cut(map_rows(p, _parsed, "page_id long, url string, host string, stream long, texts array<string>, kinds array<int>, anchors array<bigint>"), "html-parsed")
+    open_ = parsed.where(F.size("anchors") > 0)
+    anchors = open_.select("stream", F.explode("anchors").alias("a"))
+    mine = salted(anchors, cut(in_two_streams(anchors, "a"), "html-anchors"), ["a"], ["stream"], "left_semi").groupBy("stream").agg(F.collect_set("a").alias("shared"))
+    posts = map_rows(open_.join(cut(mine, "html-shared"), "stream").select("stream", "host", "texts", "kinds", "shared"), _shared, "stream long, a array<bigint>, w array<bigint>")
+    posts = cut(posts.select("stream", F.explode(F.arrays_zip("a", "w")).alias("x")).select("stream", "x.a", "x.w"), "html-runs")
+    again = salted(posts, cut(in_two_streams(posts, "a", "w"), "html-repeated"), ["a", "w"], ["stream"], "left_semi").groupBy("stream").agg(F.collect_set("w").alias("again"))
+    columns = ["page_id", "url", "host", "texts", "kinds", "again"]
+    sure = parsed.where(F.size("anchors") == 0).withColumn("again", F.lit(None).cast("array<bigint>")).select(*columns)
+    return map_rows(sure.unionByName(open_.join(cut(again, "html-again"), "stream", "left").select(*columns)), _cleaned, _OUT)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import html
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -189,6 +190,54 @@ def test_p_values_are_uniform_enough(spark):
     assert np.mean(np.array(p) < 0.05) < 0.12
 
 
+def test_spans_of_very_many_matches(spark):
+    text = "".join(f"é x {i:016x} " for i in range(16_000))
+    got = op4_secrets.scan(docs(spark, [(1, text)])).first().base
+    assert [(x.s, x.e) for x in got] == [(5 + 21 * i - 1, 5 + 21 * i + 15) for i in range(16_000)]
+
+
+def numbers_of(token):
+    """Alphabet size and numbers of a token, as the docstring has them."""
+    body = token.rstrip("=").replace("-", "+").replace("_", "/")
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", body) and re.search("[0-9]", body) and re.search("[a-fA-F]", body):
+        return 16, ["0123456789abcdef".index(c) for c in body.lower()]
+    if re.fullmatch("[A-Z2-7]+", body) and re.search("[2-7]", body) and re.search("[A-Z]", body):
+        return 32, ["ABCDEFGHIJKLMNOPQRSTUVWXYZ234567".index(c) for c in body]
+    return 64, ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/".index(c) for c in body]
+
+
+def test_battery_matches_brute_force(spark):
+    rng = random.Random(33)
+    tokens = ["".join(rng.choice(a) for _ in range(rng.randrange(20, 120))) + "aA2"[: len(a) // 16 * 3] for a in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCxyz0123+/-_") for _ in range(12)]
+    tokens = [t for t in tokens if op4_secrets and re.search("[0-9]", t)]
+    d = spark.createDataFrame([(t,) for t in tokens], "m string")
+    got = {r.m: r.p for r in d.select("m", op4_secrets.scored(F.struct(F.lit(0).alias("s"), F.length("m").alias("e"), "m"))["p"].alias("p")).collect()}
+    for t in tokens:
+        size, x = numbers_of(t)
+        n = len(x)
+        cells = min(size, 2 ** math.floor(math.log2(max(4, n / 5))))
+        counts = Counter(v * cells // size for v in x)
+        chi = sum(c * c for c in counts.values()) * cells / n - n
+        df = cells - 1
+        z = [((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))]
+        z.append((1 + sum((a * 2 >= size) != (b * 2 >= size) for a, b in zip(x, x[1:])) - (1 + (n - 1) / 2)) / (math.sqrt(n - 1) / 2))
+        mean = (size - 1) / 2
+        z.append(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / ((size * size - 1) / 12) / math.sqrt(n - 1))
+        want = 1 - (1 - min(1.0, math.erfc(max(map(abs, z)) / math.sqrt(2)))) ** 3
+        assert got[t] == pytest.approx(want, abs=1e-5), t
+
+
+def test_thresholds_match_brute_force(spark):
+    rng = random.Random(34)
+    rows = [(code, k, b, rng.randrange(1, 40) * (4 if b > 20 else 1)) for code, k in (("hex", 4), ("base64", 5), ("base64", 6)) for b in rng.sample(range(64), 30)]
+    got = {(r.code, r["class"]): r.least for r in op4_secrets.thresholds(spark.createDataFrame(rows, "code string, class long, bin long, n long")).collect()}
+    for code, k in {r[:2] for r in rows}:
+        mine = {b: n for c, q, b, n in rows if (c, q) == (code, k)}
+        uniform = min(2 * sum(n for b, n in mine.items() if b >= 32), sum(mine.values()))
+        ok = [b for b in mine if sum(n for x, n in mine.items() if x >= b) - uniform * (1 - b / 64) <= op4_secrets.FDR * sum(n for x, n in mine.items() if x >= b)]
+        assert got.get((code, k)) == (min(ok) / 64 if ok else None)
+
+
 # 5 ---------------------------------------------------------------------------------
 
 CHAT = "conv_id long, turn long, role string, text string"
@@ -224,6 +273,41 @@ def test_chat_parts_become_placeholders(spark):
 # 6 ---------------------------------------------------------------------------------
 
 
+def repeated(streams: list[list[str]], pages: list[int], run: int = op6_html.RUN) -> list[np.ndarray]:
+    """For each token stream the mask of tokens within substrings of `run` tokens that stand in two or more distinct pages.
+
+    pages: the page number of each stream.
+    """
+    ids: dict[str, int] = {}
+    total = sum(len(s) + 1 for s in streams)
+    text, page = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64)
+    at, starts = 0, []
+    for k, (s, p) in enumerate(zip(streams, pages, strict=True)):
+        starts.append(at)
+        text[at : at + len(s)] = [ids.setdefault(w, len(ids)) for w in s]
+        text[at + len(s)] = -1 - k  # a separator that equals nothing else
+        page[at : at + len(s) + 1] = p
+        at += len(s) + 1
+    _, rank = np.unique(text, return_inverse=True)
+    depth = 1
+    while depth < run:
+        step = min(depth, run - depth)
+        later = np.zeros(total, dtype=np.int64)
+        later[: max(0, total - step)] = rank[step:] + 1
+        _, rank = np.unique(rank * np.int64(total + 1) + later, return_inverse=True)
+        depth += step
+    suffixes = np.lexsort((page, rank))  # the suffix array to depth `run`, pages in order among equals
+    r, g = rank[suffixes], page[suffixes]
+    first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+    last = np.r_[first[1:], len(r)] - 1
+    wide = np.repeat(g[first] != g[last], last - first + 1)
+    edge = np.zeros(total + run + 1, dtype=np.int64)
+    np.add.at(edge, suffixes[wide], 1)
+    np.add.at(edge, suffixes[wide] + run, -1)
+    covered = np.cumsum(edge)[:total] > 0
+    return [covered[a : a + len(s)] for a, s in zip(starts, streams, strict=True)]
+
+
 def test_pages(spark):
     page = "<html><head><title>T</title></head><body><nav>menu</nav><div class='cookie-notice'>c</div><article><h1>A &amp; B</h1><p>x <b>y<br>z<p>q &eacute;&#33; &amp c<aside>s</aside><script>var a='<p>no</p>'</script><form>f</form><div id='comments'><p>r</p></div></article><footer>foot</footer>"
     rows = [(1, "http://h/1", page), (2, None, None), (3, "http://h/3", ""), (4, "http://h/4", "just text"), (5, "http://h/5", "<article><p>cut &lt;off</p><p cla"), (1, "http://h/1", page)]
@@ -233,6 +317,53 @@ def test_pages(spark):
     assert op6_html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_what_is_kept_within_an_article():
+    """Elements and names that only look like chrome keep their text; names that say so outright do not."""
+    kept = ["<p class='widget-intro'>a</p>", "<label>a</label>", "<p>x <math>y</math> z</p>", "<object>a</object>", "<p id='comment-free'>a</p>", "<div class='related'>a</div>", "<div class='research'>a</div>", "<svg><text>a</text></svg>"]
+    gone = ["<div class='comments'>a</div>", "<ul id=comment><li>a</ul>", "<div class='box ad'>a</div>", "<div role=navigation>a</div>", "<form><label>a</label></form>", "<aside>a</aside>", "<div class='x notice'>a</div>", "<select><option>a</select>", "<noscript>a</noscript>"]
+    plain = lambda x: " ".join(re.sub("<[^>]+>", "", x).split())
+    for x in kept:
+        assert [t for _, t in op6_html.blocks(f"<article><p>one</p>{x}<p>two</p></article>")] == ["one", plain(x), "two"], x
+    for x in gone:
+        assert [t for _, t in op6_html.blocks(f"<article><p>one</p>{x}<p>two</p></article>")] == ["one", "two"], x
+
+
+def test_blocks_match_a_generated_page():
+    """Twenty pages made from known blocks, with inline markup, references, white space and chrome between them."""
+    rng = random.Random(31)
+    for _ in range(20):
+        want, parts = [], ["<nav>menu</nav>"] * rng.randrange(2)
+        for _ in range(rng.randrange(1, 12)):
+            words = prose(rng, rng.randrange(1, 9)).split() + rng.choice([[], ["<&>"], ["é\u2009x"]])
+            want.append(" ".join(" ".join(words).split()))
+            marked = [rng.choice(["{}", "<b>{}</b>", "<i class=q>{}</i>", "{}<!-- c -->"]).format(html.escape(w)) for w in words]
+            tag = rng.choice(["p", "div", "h2", "li", "blockquote"])
+            parts.append(f"<{tag}>" + "".join(m + rng.choice([" ", "\n ", "<br>", "&#32;"]) for m in marked) + rng.choice(["", f"</{tag}>"] if tag in ("p", "li") else [f"</{tag}>"]))
+            parts += rng.sample(["<script>if (a<b) '</p>'</script>", "<aside>s</aside>", "<div class=ad>buy</div>", "<form>f<input></form>", "<style>p{}</style>"], rng.randrange(2))
+        page = f"<body><header>h</header><article>{''.join(parts)}</article><div>after</div><footer>f</footer>"
+        assert [t for k, t in op6_html.blocks(page) if k != op6_html.OUTSIDE] == want, page
+
+
+def test_malformed_pages_take_linear_time():
+    for h in ("<a b='>", "</q>", "<i \"'>", '<a "x>', "<!-", "<!--"):
+        assert isinstance(op6_html.blocks(h * 20_000), list)
+
+
+def test_runs_settle_the_doubt_within_articles(spark):
+    """A block in doubt goes if it repeats on its host, however many pages lie between, and stays if it is the page's own."""
+    rng = random.Random(32)
+    box = prose(rng, 30)
+    rows = [(i, f"http://h/{i}", f"<article><p>{prose(rng, 30)}</p><div class='widget-box'>{box if i in (3, 996) else prose(rng, 30)}</div></article>") for i in range(1000)]
+    got = {r.page_id: r for r in op6_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i for i, r in got.items() if "\n" not in r.text} == {3, 996}
+    assert all(r.n_tokens == 30 and r.n_repeated == (30 if i in (3, 996) else 0) for i, r in got.items())
+
+
+def test_pages_with_clashing_columns(spark):
+    d = spark.createDataFrame([(1, "http://h/1", "<p>a</p>", "x", "y")], "page_id long, url string, html string, text string, stream string")
+    assert [(r.page_id, r.text) for r in op6_html.main_text(d).collect()] == [(1, "a")]
+
+
 def test_host_runs_go_from_pages_without_article(spark):
     rng = random.Random(11)
     shared = prose(rng, 40)
@@ -253,7 +384,7 @@ def test_host_runs_are_found_however_large_the_host(spark):
     assert [(got[i].text, got[i].n_repeated) for i in (10, 11)] == [("own10", 20), ("own11", 20)]
     assert got[700].text == got[701].text == same[3:-4] and got[702].text == shared
     streams = [re.sub("<[^>]+>", " ", h).split() for i, _, h in rows if i != 702 and i != 701]
-    assert [got[i].n_repeated for i, _, _ in rows if i != 702 and i != 701] == [int(m.sum()) for m in op6_html.repeated(streams, list(range(len(streams))))]
+    assert [got[i].n_repeated for i, _, _ in rows if i != 702 and i != 701] == [int(m.sum()) for m in repeated(streams, list(range(len(streams))))]
 
 
 def test_suffix_array_covers_what_brute_force_covers():
@@ -264,7 +395,7 @@ def test_suffix_array_covers_what_brute_force_covers():
     for s, p in zip(streams, pages, strict=True):
         for i in range(len(s) - 4):
             seen[tuple(s[i : i + 5])].add(p)
-    for s, mask in zip(streams, op6_html.repeated(streams, pages, 5), strict=True):
+    for s, mask in zip(streams, repeated(streams, pages, 5), strict=True):
         want = [any(len(seen[tuple(s[i : i + 5])]) > 1 for i in range(max(0, j - 4), min(j, len(s) - 5) + 1)) for j in range(len(s))]
         assert mask.tolist() == want
 
@@ -345,6 +476,34 @@ def test_language_held_out_accuracy(spark):
     assert set(model.groups) == {"germanic", "romance"} and len(model.pairs) == 2
 
 
+def test_every_language_is_learned(spark):
+    """300 languages, and one that has many copies of two texts only."""
+    rng = random.Random(35)
+    word = lambda i: "".join("abcdefghijklmnopqrstuvwxyz"[(i * 7 + k * k * (i % 11 + 1) + rng.randrange(2)) % 26] for k in range(6))
+    rows = [(n, " ".join(word(i) for _ in range(12)), f"l{i}") for n, i in enumerate(i for i in range(300) for _ in range(12))]
+    rows += [(10_000 + i, ("einmal der Text" if i % 2 else "noch der andere"), "copies") for i in range(1000)]
+    model = op8_language.fit(op8_language.training_rows(docs(spark, rows)))
+    assert sum(map(len, model.groups.values())) == 301
+    again = op8_language.fit(op8_language.training_rows(docs(spark, rows[::-1])))
+    assert np.array_equal(model.first.w, again.first.w)
+    assert op8_language.identify(docs(spark, [(None, "einmal der Text")]), model).first().lang_pred == "copies"
+
+
+def test_features_match_brute_force():
+    rng = random.Random(36)
+    for text in ("Ab1 c", "é", prose(rng, 30)):
+        data = b" " + text.encode() + b"   "
+        fold = bytes(c + 32 if 65 <= c < 91 else 32 if c < 65 or 91 <= c < 97 or 123 <= c < 128 else c for c in data)
+        counts = np.zeros(1 << op8_language.BITS)
+        for i in range(len(fold) - 3):
+            for k in range(4):
+                g = (int.from_bytes(fold[i : i + k + 1], "big") + k) * 2654435761 % 2**32
+                g = (g ^ g >> 15) * 2246822519 % 2**32
+                counts[g >> 32 - op8_language.BITS] += 1
+        x = np.sqrt(counts)
+        assert np.allclose(op8_language.features(text), x / np.linalg.norm(x), atol=1e-5)
+
+
 def test_language_without_labels_or_rows(spark):
     assert op8_language.fit(op8_language.training_rows(docs(spark, ODD))) is None
     assert op8_language.identify(docs(spark, [(1, "a b")]), None).first().lang_pred == "und"
