@@ -3,26 +3,28 @@
 Templates are license notices and full short licenses. Their words (lower case, ASCII punctuation
 as white space) are hashed in windows of GRAM words; the minima of every WINDOW
 consecutive hashes, with the first and last of each template, are its fingerprints and go into an inverted index of
-(template, position). All windows of a whole document are looked up, so every run of
-GRAM + WINDOW - 1 words that equals a template's gives a candidate.
-Hits on neighbouring diagonals are one candidate; around it a banded
+(template, position). All windows of a whole document are looked up. A candidate is a stretch of BAND neighbouring diagonals on which
+one in LEADS of the template's fingerprints is found, and one at least; around it a banded
 alignment (up to BAND words, or a quarter of a short template, off the diagonal) of template
-and document finds the aligned words. Templates with COVERAGE or more of their
-words matched are reported with the span in code points of the text. Of matches that overlap, the one
-with the most matched words stays.
+and document finds the aligned words. A match at COVERAGE has a fifth of the template's words replaced at most, each of which
+breaks GRAM windows at most, so two in five windows are left when the replacements are spread evenly and more when they
+are not; insertions beside replacements can break more and go unfound. A candidate needs COVERAGE or more of its words matched. The words that tell siblings
+apart (MARKS, and the number of a version) must all be matched, and none of MARKS may stand unmatched between matched words. Of matches
+that overlap, the one with the most matched words stays. Spans are code points of the text.
 
-The index is a constant of the library (a few hundred fingerprints), so nothing that
-grows with the data is sent to executors, and a document is one row in, its matches out.
+The index is made of the templates, an argument of the caller's; those of the library have a few hundred fingerprints, so
+nothing that grows with the data is sent to executors, and a document is one row in, its matches out.
 
 Edge cases: null or empty text has no match; a license repeated in a text is
-reported once for each place; repeated rows each report their matches; an empty table gives an empty
-result; further columns are ignored.
+reported once for each place; a text with very many hits costs an alignment only where enough different ones lie on one stretch; repeated
+rows each report their matches; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from ringfold.llm.common import map_rows, table, utf8
 from ringfold.llm.op7_minhash import WordHash
 
-GRAM, WINDOW, BAND, COVERAGE = 3, 3, 8, 0.8
+GRAM, WINDOW, BAND, COVERAGE, LEADS = 3, 3, 8, 0.8, 3
+MARKS = frozenset(b"affero lesser library nc sa nd noncommercial sharealike noderivatives noderivs".split())
 
 # Notices and licenses as their publishers word them.
 TEMPLATES = {
@@ -49,9 +52,21 @@ TEMPLATES = {
     "CC-BY-4.0/notice": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0/notice": "Licensed under CC BY-SA 4.0.",
     "CC-BY-4.0/sentence": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "GPL-2.0/header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "AGPL-3.0/notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0/header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-3.0/notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "CC-BY-ND-4.0/notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0/notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0/notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-3.0/notice": "Licensed under CC BY 3.0.",
+    "CC-BY-SA-3.0/notice": "Licensed under CC BY-SA 3.0.",
+    "CC-BY-SA-4.0/sentence": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0/sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "MIT/license": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
     "ISC/license": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "BSD-2-Clause/license": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause/license": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "Unlicense/license": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
@@ -90,10 +105,14 @@ class Licenses:
         self.names = list(templates)
         self.words = [split_words(utf8(t)) for t in templates.values()]
         self.band = [min(BAND, max(1, len(w) // 4)) for w in self.words]
+        self.marks = [Counter(x for k, x in enumerate(w) if x in MARKS or (x.isdigit() and (len(w) <= 16 or w[k - 1] in (b"version", b"v")))) for w in self.words]
         index: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.least = []
         for t, w in enumerate(self.words):
             hashes = grams(w, self.cache)
-            for p in winnow(hashes) if len(hashes) else []:
+            picked = winnow(hashes) if len(hashes) else []
+            self.least.append(max(1, -(-len(picked) // LEADS)))
+            for p in picked:
                 index[int(hashes[p])].append((t, p))
         self.index = dict(index)
         self.keys = np.array(sorted(index), dtype=np.uint64)
@@ -110,25 +129,41 @@ class Licenses:
         hits = np.flatnonzero(self.keys[at] == h)
         if not len(hits):
             return []
-        leads: dict[int, set[int]] = defaultdict(set)
+        leads: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for d in hits.tolist():
             for t, p in self.index[int(h[d])]:
-                leads[t].add(d - p)
-        found = []
-        for t, diagonals in leads.items():
-            for lead in apart(sorted(diagonals), self.band[t]):
-                if m := self.align(t, w, lead):
-                    found.append((len(m), t, m[0], m[-1]))
-        enough = [x for x in set(found) if x[0] >= COVERAGE * len(self.words[x[1]])]
+                leads[t].add((d - p, p))
+        found = set()
+        for t, places in leads.items():
+            for lead in apart(sorted(places), self.band[t], self.least[t]):
+                if (m := self.align(t, w, lead)) and self.same_kind(t, w, m):
+                    found.add((len(m), t, m[0], m[-1]))
+        starts: list[int] = []
         out: list[tuple] = []
-        for n, t, a, b in sorted(enough, key=lambda x: (-x[0], -x[0] / len(self.words[x[1]]), x[1], x[2])):
-            if all(b < a2 or a > b2 for _, _, a2, b2 in out):
-                out.append((n, t, a, b))
+        for x in sorted(found, key=lambda x: (-x[0], -x[0] / len(self.words[x[1]]), x[1], x[2])):
+            k = bisect_left(starts, x[2])
+            if (k == 0 or out[k - 1][3] < x[2]) and (k == len(out) or x[3] < starts[k]):
+                starts.insert(k, x[2])
+                out.insert(k, x)
         if not out:
             return []
-        places = [m.span() for m in _WORD.finditer(raw.translate(_PLAIN).translate(_SPACE))]
-        chars = lambda i: len(raw[:i].decode("utf-8", "surrogatepass"))
-        return sorted(((self.names[t], n / len(self.words[t]), chars(places[a][0]), chars(places[b][1]), n) for n, t, a, b in out), key=lambda x: (x[2], x[0]))
+        spans = np.array([m.span() for m in _WORD.finditer(raw.translate(_PLAIN).translate(_SPACE))])
+        seen, chars, done = [], 0, 0  # `out` is in order of places, so each byte is decoded once
+        for n, t, a, b in out:
+            ends = []
+            for upto in (int(spans[a, 0]), int(spans[b, 1])):
+                chars += len(raw[done:upto].decode("utf-8", "surrogatepass"))
+                done = upto
+                ends.append(chars)
+            seen.append((self.names[t], n / len(self.words[t]), *ends, n))
+        return sorted(seen, key=lambda x: (x[2], x[0]))
+
+    def same_kind(self, t: int, w: list[bytes], m: list[int]) -> bool:
+        """Enough words are matched, those that tell siblings apart among them, and no mark of a sibling stands between."""
+        if len(m) < COVERAGE * len(self.words[t]) or self.marks[t] - Counter(w[d] for d in m):
+            return False
+        mine = set(m)
+        return not any(w[d] in MARKS and d not in mine for d in range(m[0], m[-1] + 1))
 
     def align(self, t: int, w: list[bytes], lead: int) -> list[int]:
         """Document positions of the longest common subsequence within the band around the diagonal `lead`."""
@@ -157,25 +192,34 @@ class Licenses:
 _SPACE = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
 
-def apart(leads: list[int], band: int) -> list[int]:
-    """One diagonal for each stretch of `band` neighbouring ones."""
+def apart(places: list[tuple[int, int]], band: int, least: int) -> list[int]:
+    """The first diagonal of each stretch of `band` neighbouring ones that has `least` different fingerprints; places: (diagonal, fingerprint) in order."""
     out: list[int] = []
-    for x in leads:
-        if not out or x - out[-1] > band:
-            out.append(x)
+    i = 0
+    while i < len(places):
+        j = i
+        while j < len(places) and places[j][0] <= places[i][0] + band:
+            j += 1
+        if len({p for _, p in places[i:j]}) >= least:
+            out.append(places[i][0])
+        i = j
     return out
 
 
-def _scanned(rows: Iterable[tuple]) -> Iterator[tuple]:
-    licenses = Licenses()
-    for doc_id, text in rows:
-        for name, coverage, start, end, n in licenses.scan(text):
-            yield doc_id, name.split("/")[0], name, coverage, start, end, n
+class _Scanner:
+    def __init__(self, templates: dict[str, str]) -> None:
+        self.templates = templates
 
+    def __call__(self, rows: Iterable[tuple]) -> Iterator[tuple]:
+        licenses = Licenses(self.templates)
+        for doc_id, text in rows:
+            for name, coverage, start, end, n in licenses.scan(text):
+                yield doc_id, name.split("/")[0], name, coverage, start, end, n
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
-    """doc_id, license, template, coverage, start, end, n_matched: a row for each license found in docs."""
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), _scanned, "doc_id long, license string, template string, coverage double, start long, end long, n_matched long")
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+    """doc_id, license, template, coverage, start, end, n_matched: a row for each license found in docs. templates: texts by license/name."""
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), _Scanner(templates), "doc_id long, license string, template string, coverage double, start long, end long, n_matched long")
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
