@@ -12,9 +12,10 @@ A candidate is verified on words in order: the share of the three-word grams of
 its question and of its answer that the passage has must reach QUESTION and ANSWER. Items are one text here;
 the answer is its last third unless the caller gives answers of its own.
 
-The index is sent to executors in shards of at most SHARD_WORDS words, a proven
-bound; a larger benchmark makes more shards and more passes, with the document
-frequencies of the whole benchmark in each.
+The index is sent to executors in shards of about SHARD_WORDS words; a larger benchmark makes more
+shards and more passes, with the document frequencies of the whole benchmark in each. Rows that repeat an item are one item, so
+hashing spreads the items evenly; items of over LONG words have shards of their own, so that they do not lengthen the
+passages of the others. With several shards the matches of each are a table, and its broadcast is released before the next.
 
 Edge cases: null or empty text matches nothing; an item without a word is left
 out; items under three words are matched as a whole; equal items all match;
@@ -28,12 +29,14 @@ import math
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringfold.llm.common import filter_rows, map_rows, table, utf8
+from ringfold.plans.shared import cut
 
 THRESHOLD = 0.6
 QUESTION, ANSWER = 0.7, 0.5
@@ -41,6 +44,7 @@ K1, B = 1.2, 0.75
 #: Items in a block at least, and blocks of an index at most (a bound on the size of the table of maxima).
 LEAST_BLOCK, MOST_BLOCKS = 4, 64
 SHARD_WORDS = 500_000
+LONG = 1000
 GRAM = 3
 
 _PLAIN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256)).lower()
@@ -154,52 +158,65 @@ class Index:
         return sorted(found.values())
 
 
-def shards(benchmark: DataFrame, limit: int = SHARD_WORDS) -> Iterator[Index]:
-    """Indexes of the benchmark (item_id, text, optionally answer), each of about `limit` words at most; driver memory holds one."""
+def shards(benchmark: DataFrame, limit: int = SHARD_WORDS) -> tuple[int, Iterator[Index]]:
+    """How many indexes the benchmark (item_id, text, optionally answer) makes, each of about `limit` words, and these one by one; driver memory holds one."""
     has_answer = "answer" in benchmark.columns
-    b = benchmark.select("item_id", "text", F.col("answer") if has_answer else F.lit(None).cast("string").alias("answer"))
-    b = b.withColumn("w", F.filter(F.split(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "), " "), lambda x: x != ""))
-    total = b.agg(F.count(F.when(F.size("w") > 0, 1)).alias("n"), F.coalesce(F.sum(F.size("w")), F.lit(0)).alias("words")).first()
-    if not total.n:
-        return
-    parts = -(-total.words // limit)
-    for part in range(parts):
-        rows = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).select("item_id", "text", "answer").collect()
-        items = []
-        for r in sorted(rows, key=lambda r: (r.item_id is None, r.item_id or 0, r.text or "")):
-            question, answer = words(r.text), words(r.answer)
-            if question:
+    b = benchmark.select("item_id", "text", F.col("answer") if has_answer else F.lit(None).cast("string").alias("answer")).distinct()
+    split_ = lambda c: F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "), " "), lambda x: x != "")
+    b = b.withColumn("w", split_("text")).where(F.size("w") > 0).withColumn("w", F.concat("w", split_("answer"))).withColumn("long", F.size("w") > LONG)
+    sizes = b.groupBy("long").agg(F.count("*").alias("n"), F.sum(F.size("w")).alias("words")).collect()  # two rows at most
+    parts = [(r.long, k, -(-r.words // limit)) for r in sizes for k in range(-(-r.words // limit))]
+    n, total = sum(r.n for r in sizes), sum(r.words for r in sizes)
+
+    def indexes() -> Iterator[Index]:
+        for long, part, of in parts:
+            rows = b.where((F.col("long") == long) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(of)) == part)).select("item_id", "text", "answer").collect()
+            items = []
+            for r in sorted(rows, key=lambda r: (r.item_id is None, r.item_id or 0, r.text or "", r.answer or "")):
+                question, answer = words(r.text), words(r.answer)
                 items.append((r.item_id, question + answer, len(question) if answer else -(-2 * len(question) // 3)))
-        mine = {t for _, w, _ in items for t in w}
-        df: dict[bytes, int] = defaultdict(int)
-        if parts == 1:
-            for _, w, _ in items:
-                for t in set(w):
-                    df[t] += 1
-        else:
-            counts = b.select(F.explode(F.array_distinct("w")).alias("t")).groupBy("t").count()
-            for r in counts.toLocalIterator():
-                if (t := utf8(r.t)) in mine:
-                    df[t] = r["count"]
-        yield Index(items, defaultdict(lambda: 1, df), total.n, total.words / total.n)
+            mine = {t for _, w, _ in items for t in w}
+            df: dict[bytes, int] = defaultdict(int)
+            if len(parts) == 1:
+                for _, w, _ in items:
+                    for t in set(w):
+                        df[t] += 1
+            else:
+                counts = b.select(F.explode(F.array_distinct("w")).alias("t")).groupBy("t").count()
+                for r in counts.toLocalIterator():
+                    if (t := utf8(r.t)) in mine:
+                        df[t] = r["count"]
+            yield Index(items, defaultdict(lambda: 1, df), n, total / n)
+
+    return len(parts), indexes()
+
+
+def each_shard(docs: DataFrame, benchmark: DataFrame, step) -> Iterator[DataFrame]:
+    """step(docs so far, broadcast index) for each shard; with several, as a table, after which the index is released."""
+    many, indexes = shards(benchmark)
+    for index in indexes:
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+        out = step(sent)
+        if many > 1:
+            out = cut(out, "benchmark-shard")
+            sent.unpersist()
+        yield out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, passage, first_word, score, question, answer: every verified match."""
-    spark = docs.sparkSession
     schema = "doc_id long, item_id long, passage long, first_word long, score double, question double, answer double"
-    texts, found = docs.select(F.col("doc_id").cast("long"), "text"), None
-    for index in shards(benchmark):
-        index_df = map_rows(texts, _Matcher(spark.sparkContext.broadcast(index)), schema)
-        found = index_df if found is None else found.unionByName(index_df)
-    return found if found is not None else spark.createDataFrame([], schema)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    found = list(each_shard(docs, benchmark, lambda sent: map_rows(texts, _Matcher(sent), schema)))
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold a verified match: one pass over the texts a shard, no shuffle."""
-    for index in shards(benchmark):
-        docs = filter_rows(docs, "text", _Clean(docs.sparkSession.sparkContext.broadcast(index)))
-    return docs
+    left = [docs]
+    for out in each_shard(docs, benchmark, lambda sent: filter_rows(left[-1], "text", _Clean(sent))):
+        left[:] = [out]
+    return left[-1]
 
 
 class _Clean:
