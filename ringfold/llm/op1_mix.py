@@ -12,8 +12,8 @@ With u_i uniform from a hash of doc_id, documents are ranked by
 q_i = (u_i / (1 - u_i)) / (p_i / (1 - p_i)), random odds over inclusion odds
 (Rosen 1997), and taken in that order until the rest is filled.
 
-No source is ever sorted as a whole. A histogram of q of 65,536 bins a source finds the bin of the cut; the
-documents of that bin alone, one in 65,536, are ranked one by one, and the last one taken is the
+No source is ever sorted as a whole. A histogram of q of 4,096 bins a source finds the bin of the cut; the
+documents of that bin alone, about one in 4,096, are ranked one by one, and the last one taken is the
 source's cut. A document compares itself with the cut of its source, so a source with a third of all rows is no hot task.
 
 Edge cases: null or empty text has size 0 and takes 0; a null source is a
@@ -34,7 +34,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 SEED = 20250101
 POWER = 0.5
-BINS = 1 << 16
+BINS = 4096
 
 
 def targets(sizes: DataFrame, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:

@@ -8,6 +8,7 @@ import html
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -142,6 +143,41 @@ def test_contamination(spark):
     assert op3_decontaminate.contaminated(docs(spark, []), b).count() == 0
 
 
+def test_long_items_and_repeated_items(spark):
+    """A long item has an index of its own; rows that repeat an item are one."""
+    rng = random.Random(38)
+    long, short = prose(rng, 1500), prose(rng, 25)
+    b = spark.createDataFrame([(1, long), (2, short), (2, short), (3, short)], "item_id long, text string")
+    d = docs(spark, [(10, prose(rng, 40) + " " + long), (11, prose(rng, 900) + " " + short), (12, prose(rng, 900))])
+    assert sorted((r.doc_id, r.item_id) for r in op3_decontaminate.contaminated(d, b).collect()) == [(10, 1), (11, 2), (11, 3)]
+    assert [r.doc_id for r in op3_decontaminate.decontaminate(d, b).collect()] == [12]
+
+
+def test_verification_and_threshold_match_brute_force():
+    """Partly quoted items: a match needs its score and both shares, worked out here from the definitions."""
+    rng = random.Random(39)
+    items = [(i, op3_decontaminate.words(prose(rng, 24)), 16) for i in range(30)]
+    df = Counter(t for _, w, _ in items for t in set(w))
+    index = op3_decontaminate.Index(items, df, len(items), 24.0)
+    for _ in range(150):
+        i, w, q = rng.choice(items)
+        quoted = [x if rng.random() < 0.9 else b"other" for x in w][: rng.randrange(8, 25)]
+        text = (prose(rng, 20) + " ").encode() + b" ".join(quoted) + (" " + prose(rng, 20)).encode()
+        passages = op3_decontaminate.words(text.decode())
+        want = set()
+        for k in range(len(passages) // 24 + 1):
+            p = passages[k * 24 : (k + 2) * 24]
+            have = set(zip(p, p[1:], p[2:]))
+            for j, x, q in items:
+                norm = 1.2 * (0.25 + 0.75 * len(x) / 24.0)
+                impact = {t: math.log(1 + (30 - df[t] + 0.5) / (df[t] + 0.5)) * n * 2.2 / (n + norm) for t, n in Counter(x).items()}
+                g = list(zip(x, x[1:], x[2:]))
+                asked, told = g[: q - 2], g[q:] if q < len(g) else g[-1:]
+                if sum(v for t, v in impact.items() if t in p) >= 0.6 * sum(impact.values()) and sum(y in have for y in asked) >= 0.7 * len(asked) and sum(y in have for y in told) >= 0.5 * len(told):
+                    want.add(j)
+        assert {m[0] for m in index.matches(text.decode())} == want
+
+
 def test_contamination_by_shards_is_the_same(spark, monkeypatch):
     rng = random.Random(6)
     bench = [(i, prose(rng, 20)) for i in range(30)]
@@ -526,6 +562,40 @@ def test_licenses(spark):
     assert op9_licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"), ("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("Licensed under CC BY 2.5.", None), ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("This work is licensed under the GNU General Public License, version 1.", None),
+     (op9_licenses.TEMPLATES["BSD-3-Clause/license"], "BSD-3-Clause"), (op9_licenses.TEMPLATES["BSD-2-Clause/license"], "BSD-2-Clause"), (op9_licenses.TEMPLATES["AGPL-3.0/header"], "AGPL-3.0"), (op9_licenses.TEMPLATES["GPL-2.0/header"], "GPL-2.0")],
+)
+def test_siblings_are_told_apart(text, want):
+    assert [x[0].split("/")[0] for x in op9_licenses.Licenses().scan(f"some words before. {text} And some after it.")] == ([want] if want else [])
+
+
+def test_candidates_match_brute_force():
+    """Every place that an alignment at all diagonals would accept is found, for a few replaced words."""
+    rng = random.Random(37)
+    licenses = op9_licenses.Licenses()
+    for name, template in op9_licenses.TEMPLATES.items():
+        w = template.split()
+        for _ in range(4):
+            edited = list(w)
+            for k in rng.sample(range(len(w)), len(w) // 25):
+                edited[k] = "edited" if not re.search(r"\d|lesser|affero|library|^v\\.", w[k].lower()) else w[k]
+            text = prose(rng, 30) + " " + " ".join(edited) + " " + prose(rng, 30)
+            words = op9_licenses.split_words(text.encode())
+            t = licenses.names.index(name)
+            accepted = any((m := licenses.align(t, words, lead)) and licenses.same_kind(t, words, m) for lead in range(25, 36))
+            assert accepted == any(x[0].split("/")[0] == name.split("/")[0] for x in licenses.scan(text)), (name, text)
+
+
+@pytest.mark.parametrize("phrase", ["of the license the terms of the license ", "under the terms of the GNU General Public License as published by "])
+def test_many_hits_stay_cheap(phrase):
+    licenses = op9_licenses.Licenses()
+    began = time.process_time()
+    licenses.scan(phrase * (190_000 // len(phrase)))
+    assert time.process_time() - began < 4
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = random.Random(16)
     for _ in range(40):
