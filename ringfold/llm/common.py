@@ -57,9 +57,12 @@ SALTS = 16
 
 
 def salted(rows: DataFrame, few: DataFrame, keys: list[str], by: list[str], how: str) -> DataFrame:
-    """rows joined with few, which has each key once; the rows of a key are dealt to SALTS tasks by the columns `by`."""
+    """rows joined with few, which has each key once; the rows of a key are dealt to SALTS tasks by the columns `by`.
+
+    few is SALTS times its table here, which Spark's size estimate does not see, so it is never broadcast.
+    """
     rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
-    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     return rows.join(few, [*keys, "__salt"], how).drop("__salt")
 
 
