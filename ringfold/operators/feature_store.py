@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ringfold.functions.numbers import DAY, HOUR, mean_cents, ratio, round4, stddev_cents
 from ringfold.functions.schemas import FEATURE_SERVICES, FEATURE_VIEWS
+from ringfold.functions.settings import get
 from ringfold.operators.features import flags
+from ringfold.plans.shared import publish, published
 
 
 def _within(as_of: int, days: float):
@@ -57,10 +59,10 @@ def ip_stats(txns: DataFrame, as_of: int) -> DataFrame:
     return g.select("ip_address", F.lit(as_of).cast("long").alias("event_us"), "linked_accounts_count", none("long", "is_vpn"), none("long", "is_tor"), none("long", "is_datacenter"), F.col("last.country_code").alias("country_code"), none("double", "abuse_score"))
 
 
-def read_view(spark: SparkSession, folder: str, view: str) -> DataFrame:
-    """A feature view's Parquet files with its declared schema."""
+def read_view(spark: SparkSession, view: str, folder: str | None = None) -> DataFrame:
+    """A feature view's Parquet files with its declared schema, below FEAST_REPO_PATH unless a folder is given."""
     key, _, columns = FEATURE_VIEWS[view]
-    return spark.read.schema(f"{key} string, event_timestamp timestamp, {columns}").parquet(f"{folder}/{view}")
+    return spark.read.schema(f"{key} string, event_timestamp timestamp, {columns}").parquet(f"{folder or get('FEAST_REPO_PATH')}/{view}")
 
 
 def latest(view: DataFrame, key: str, time: str = "event_us") -> DataFrame:
@@ -70,17 +72,8 @@ def latest(view: DataFrame, key: str, time: str = "event_us") -> DataFrame:
 
 
 def materialise(view: DataFrame, key: str, path: str, time: str = "event_us") -> None:
-    """Write the newest row of each key, merged with what the path has."""
-    spark = view.sparkSession
-    try:
-        old = spark.read.schema(view.schema).parquet(path)
-        old.head(1)
-    except Exception as e:  # the first time there is nothing to merge
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = spark.createDataFrame([], view.schema)
-    latest(old.unionByName(view), key, time).write.mode("overwrite").parquet(f"{path}.new")
-    spark.read.schema(view.schema).parquet(f"{path}.new").write.mode("overwrite").parquet(path)
+    """Publish the newest row of each key, merged with what the path has."""
+    publish(latest(published(view.sparkSession, path, view.schema).unionByName(view), key, time), path)
 
 
 def point_in_time(rows: DataFrame, view: DataFrame, key: str, days: int, time: str = "ts_us", view_time: str = "event_us") -> DataFrame:

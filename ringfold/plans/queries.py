@@ -276,14 +276,28 @@ def q_stream_features(spark, d):
 
 def q_stream_alerts(spark, d):
     t = tx.adapter(st.events_stream(spark, d), SQUEEZE).where(tx.valid()).drop("amount_raw")
-    known_ = current_labels(spark, d).where("kind = 'entity'").select("key")
-    return st.run_to_table(st.alert_stream(t, known_), "alerts").select("transaction_id", "account_id", "ts_us", "composite_score", "severity")
+    return st.run_to_table(st.alert_stream(t, cut(current_labels(spark, d), "labels")), "alerts").select("transaction_id", "account_id", "ts_us", "composite_score", "severity")
 
 
-def q_stream_components(spark, d):
+def stream_snapshots(spark, d):
     t = tx.adapter(st.events_stream(spark, d)).where(tx.valid()).drop("amount_raw")
-    out = st.run_to_table(st.component_stream(t), "components")
-    return out.agg(F.count("*").alias("n_merges"))
+    return st.run_to_table(st.component_stream(t), "components")
+
+
+def q_stream_components(spark, d):
+    """The last snapshot of each component that is left, named by its smallest member."""
+    s = st.heartbeat(stream_snapshots(spark, d), 2)
+    return s.select(F.element_at("member_ids", 1).alias("component_id"), "size", F.concat_ws(",", "member_ids").alias("members"))
+
+
+def q_stream_merges(spark, d):
+    return stream_snapshots(spark, d).agg(F.count("*").alias("n_merges"), F.countDistinct("absorbed").alias("n_absorbed"))
+
+
+def q_stream_enriched(spark, d):
+    t = tx.adapter(st.events_stream(spark, d)).where(tx.valid()).drop("amount_raw").where(F.col("ts_us") > AS_OF)
+    stats = cut(fs.account_stats(tx.transactions(spark, d), AS_OF), "stats")
+    return st.run_to_table(rules.score(fs.enrich(t, stats)).select("transaction_id", "amount_zscore", "composite_score"), "enriched")
 
 
 QUERIES = {k: v for k, v in globals().items() if k.startswith("q_")}
@@ -388,6 +402,7 @@ ORACLE_SQL = {
     "q_parse_json": f"{_SLOW} SELECT transaction_id, ts_us, account_id, amount_cents, status, CASE WHEN amount_raw > 0 THEN '' ELSE 'amount not above zero' END AS error FROM raw",
     "q_entity_edges": f"{_SLOW},{_EDGES} SELECT * FROM edge",
     "q_edge_keys": f"{_SLOW},{_EDGES} SELECT edge_key, count(*) AS n FROM keyed GROUP BY 1",
+    "q_shards": f"{_SLOW},{_EDGES} SELECT ('0x' || md5(least(source_id, target_id))[1:8])::BIGINT % 8 AS shard, count(*) AS n FROM edge GROUP BY 1",
     "q_edge_dedup_24h": f"{_SLOW.replace('WITH', 'WITH RECURSIVE', 1)},{_EDGES},{_greedy('keyed', 'edge_key', DAY, '>')} SELECT edge_key, ts_us, transaction_id FROM k WHERE kept",
     "q_components": f"{_PLAIN} SELECT node, component FROM node",
     "q_components_large": f"SELECT min(a) AS component, count(*) AS n, sum(a)::BIGINT AS nodes FROM (SELECT i // 1000 AS c, (i * 611953) % 1000003 AS a FROM range({LARGE}) t(i)) GROUP BY c",
@@ -420,8 +435,10 @@ ORACLE_SQL = {
     "q_rule_trigger_counts": f"{_KNOWN} SELECT rule, count(*) AS n_triggers FROM (SELECT unnest(triggered) AS rule FROM known) GROUP BY 1",
     "q_score_percentiles": f"{_KNOWN} SELECT quantile_cont(composite_score, 0.5) AS p50, quantile_cont(composite_score, 0.95) AS p95, quantile_cont(composite_score, 0.99) AS p99 FROM known",
     "q_component_size_pctl": f"{_GRAPH} SELECT count(*) AS n_components, sum(size)::BIGINT AS n_entities, max(size) AS max_size, quantile_cont(size, 0.5)::DOUBLE AS p50, quantile_cont(size, 0.95)::DOUBLE AS p95 FROM snaps",
-    "q_stream_components": f"{_PLAIN} SELECT (count(*) - count(DISTINCT component))::BIGINT AS n_merges FROM node",
+    "q_stream_merges": f"{_PLAIN} SELECT (count(*) - count(DISTINCT component))::BIGINT AS n_merges, (count(*) - count(DISTINCT component))::BIGINT AS n_absorbed FROM node",
+    "q_stream_components": f"{_GRAPH} SELECT component_id, size, array_to_string(member_ids[1:500], ',') AS members FROM snaps",
 }
 ORACLE_SQL["q_stream_dedup"] = ORACLE_SQL["q_edge_dedup_24h"]
 ORACLE_SQL["q_stream_features"] = f"{_FAST} SELECT * FROM feat"
-ORACLE_SQL["q_stream_alerts"] = ORACLE_SQL["q_alerts_rate_limited"].replace(f" AND ts_us >= confirmed_us AND ts_us < confirmed_us + {labels.VALID_US}", "").replace("SELECT * FROM alert WHERE composite_score < 0.75", "SELECT transaction_id, account_id, ts_us, composite_score, severity FROM alert WHERE composite_score < 0.75").replace("severity, recommended_action, component_size, triggered FROM k", "severity FROM k")
+ORACLE_SQL["q_stream_alerts"] = f"SELECT transaction_id, account_id, ts_us, composite_score, severity FROM ({ORACLE_SQL['q_alerts_rate_limited']})"
+ORACLE_SQL["q_stream_enriched"] = ORACLE_SQL["q_enriched_scores"]

@@ -37,3 +37,35 @@ def drop_table(df: DataFrame) -> None:
         if "/ringfold-" in folder:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def published(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest complete version of a table that publish() wrote, or no rows if there is none."""
+    found = _versions(spark, path)
+    return spark.read.schema(schema).parquet(found[-1]) if found else spark.createDataFrame([], schema)
+
+
+def publish(df: DataFrame, path: str) -> None:
+    """Write df as the next version of a table. Readers see the old version until the new one is complete; the one before last goes."""
+    spark = df.sparkSession
+    have = _versions(spark, path)
+    number = int(have[-1].rsplit("=", 1)[1]) + 1 if have else 0
+    df.write.parquet(f"{path}/version={number:012d}")
+    for old in have[:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [x.getPath().toString() for x in fs.listStatus(top)]
+    return sorted(n for n in names if "/version=" in n and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{n}/_SUCCESS")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top)

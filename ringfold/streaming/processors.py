@@ -1,12 +1,14 @@
 """Keyed stateful processors. Each runs on a stream and, unchanged, on a batch DataFrame.
 
-State lives in the state store (RocksDB where the session names it); event times in microseconds are compared
+On a stream, state that nothing can need any more expires: `ttl_ms` after it was last written, in processing time, which is never
+before its event time has passed. On a batch there is no clock and ttl_ms is None. State lives in the state store (RocksDB where the session names it); event times in microseconds are compared
 explicitly, so a replay gives the same rows. Within a micro-batch a key's rows are put in order of (ts_us, id).
 """
 
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 from math import floor
 from typing import Any
@@ -29,11 +31,11 @@ def _ordered(rows: Iterator[pd.DataFrame], tie: str) -> pd.DataFrame:
 class GapFilter(StatefulProcessor):
     """Emit a key's first row, drop rows within `gap` of the last emitted one, emit the next. An exact gap passes if inclusive."""
 
-    def __init__(self, gap: int, tie: str, inclusive: bool = True) -> None:
-        self.gap, self.tie, self.inclusive = gap, tie, inclusive
+    def __init__(self, gap: int, tie: str, inclusive: bool = True, ttl_ms: int | None = None) -> None:
+        self.gap, self.tie, self.inclusive, self.ttl_ms = gap, tie, inclusive, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us long")
+        self.last = handle.getValueState("last", "us long", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         d = _ordered(rows, self.tie)
@@ -53,33 +55,43 @@ class GapFilter(StatefulProcessor):
 
 
 class Features(StatefulProcessor):
-    """Features of an account's transactions from a history of 24 hours and running sums of all amounts."""
+    """Features of an account's transactions from a history of 24 hours (and `late` microseconds) and running sums of all amounts.
+
+    A row that comes late counts what lay in its past, and nothing after its own time. The windows move over the sorted
+    history with two pointers, so a busy account costs its rows and not their square.
+    """
+
+    def __init__(self, late: int = 10_000_000, ttl_ms: int | None = None) -> None:
+        self.late, self.ttl_ms = late, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", "us long, cents long, device string, ip string, micro boolean, night boolean, cross boolean")
+        self.history = handle.getListState("history", "us long, cents long, device string, ip string, micro boolean, night boolean, cross boolean", self.ttl_ms)
         self.sums = handle.getValueState("sums", "n long, s string, q string")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         d = _ordered(rows, "transaction_id")
         past = [tuple(x) for x in self.history.get()] if self.history.exists() else []
         n, s, q = (int(v) for v in self.sums.get()) if self.sums.exists() else (0, 0, 0)
-        out = []
+        text = lambda v: v if isinstance(v, str) and v else None
+        new = []
         for t in d.itertuples(index=False):
             us, cents = int(t.ts_us), int(t.amount_cents)
-            hour = us // HOUR % 24
-            country = (t.country_code or "US").upper() if isinstance(t.country_code, str) else "US"
-            text = lambda v: v if isinstance(v, str) and v else None
-            past.append((us, cents, text(t.device_id), text(t.ip_address), cents < 100, hour >= 23 or hour < 5, country != "US"))
-            past = [h for h in past if h[0] >= us - DAY]
+            hour, country = us // HOUR % 24, text(t.country_code) or "US"
+            new.append((us, cents, text(t.device_id), text(t.ip_address), cents < 100, hour >= 23 or hour < 5, country.upper() != "US"))
+        seen = sorted(past + new, key=lambda h: h[0])
+        day, near = _Window(seen, DAY), _Window(seen, HOUR)
+        out = []
+        for t, (us, cents, *_) in zip(d.itertuples(index=False), new, strict=True):
+            day.move(us)
+            near.move(us)
             n, s, q = n + 1, s + cents, q + cents * cents
-            near = [h for h in past if h[0] >= us - HOUR]
             spread = float(n * q - s * s) ** 0.5
             out.append((
-                t.transaction_id, t.account_id, us, cents, len(near), len(past), round4(float(s) / n / 100), round4(spread / n / 100 if n > 1 else 0.0),
-                round4((float(cents) * n - float(s)) / spread if n > 1 and spread > 0 else 0.0), 0, len({h[2] for h in near if h[2]}), len({h[3] for h in near if h[3]}),
-                round4(sum(h[6] for h in past) / max(len(past), 1)), round4(sum(h[5] for h in past) / max(len(past), 1)), round4(sum(h[4] for h in near) / max(len(near), 1)), 0.0,
+                t.transaction_id, t.account_id, us, cents, near.size, day.size, round4(float(s) / n / 100), round4(spread / n / 100 if n > 1 else 0.0),
+                round4((float(cents) * n - float(s)) / spread if n > 1 and spread > 0 else 0.0), 0, len(near.devices), len(near.ips),
+                round4(day.flags[6] / max(day.size, 1)), round4(day.flags[5] / max(day.size, 1)), round4(near.flags[4] / max(near.size, 1)), 0.0,
             ))
-        self.history.put(past)
+        self.history.put([h for h in seen if h[0] >= seen[-1][0] - DAY - self.late])
         self.sums.update((n, str(s), str(q)))
         yield pd.DataFrame(out, columns=FEATURE_COLUMNS)
 
@@ -87,6 +99,35 @@ class Features(StatefulProcessor):
         pass
 
 
+class _Window:
+    """The entries of a sorted history from `width` before a time up to it, for times that do not fall."""
+
+    def __init__(self, seen: list[tuple], width: int) -> None:
+        self.seen, self.width, self.lo, self.hi = seen, width, 0, 0
+        self.devices, self.ips, self.flags = Counter(), Counter(), Counter()
+
+    @property
+    def size(self) -> int:
+        return self.hi - self.lo
+
+    def move(self, us: int) -> None:
+        while self.hi < len(self.seen) and self.seen[self.hi][0] <= us:
+            self._count(self.seen[self.hi], 1)
+            self.hi += 1
+        while self.seen[self.lo][0] < us - self.width:
+            self._count(self.seen[self.lo], -1)
+            self.lo += 1
+
+    def _count(self, h: tuple, by: int) -> None:
+        for kinds, value in ((self.devices, h[2]), (self.ips, h[3])):
+            if value:
+                kinds[value] += by
+                if not kinds[value]:
+                    del kinds[value]
+        for k in (4, 5, 6):
+            self.flags[k] += by * bool(h[k])
+
+
 FEATURE_COLUMNS = [
     "transaction_id", "account_id", "ts_us", "amount_cents", "txn_velocity_1h", "txn_velocity_24h", "amount_mean_30d", "amount_stddev_30d", "amount_zscore", "unique_merchants_30d",
     "unique_devices_30d", "unique_ips_30d", "cross_border_ratio", "night_txn_ratio", "card_testing_score", "mule_account_score",
@@ -97,23 +138,19 @@ FEATURE_SCHEMA = (
 )
 
 
-def _flooround4(x: float) -> float:
-    from math import floor
-
-    return floor(x * 10000 + 0.5) / 10000
-
-
 class Resolver(StatefulProcessor):
     """Incremental components under one shard key: emits a snapshot whenever an edge merges two components.
 
-    Parents and each root's record are map state; a find halves its path. A shard
-    is sequential, as merging is; independent shards (say, by country) run side by side.
+    `absorbed` names the component that the merge ended. With heartbeat_ms, on a stream, the snapshots of all components
+    of `least` nodes or more come again and again by a timer, with a null there. Parents and each root's record are
+    map state; a find halves its path. A shard is sequential, as merging is; independent shards run side by side.
     """
 
-    def __init__(self, most: int = 500) -> None:
-        self.most = most
+    def __init__(self, most: int = 500, heartbeat_ms: int | None = None, least: int = 3) -> None:
+        self.most, self.heartbeat_ms, self.least = most, heartbeat_ms, least
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.parent = handle.getMapState("parent", "node string", "parent string")
         self.record = handle.getMapState("record", "root string", "json string")
 
@@ -156,7 +193,7 @@ class Resolver(StatefulProcessor):
             r["txns"] = sorted({*r["txns"], e.transaction_id})[: self.most]
             r["last"] = max(r["last"], us)
             if b in gone and a != b:
-                out.append((a, r["size"], r["edges"], list(r["members"]), list(r["txns"]), r["first"], us))
+                out.append((a, r["size"], r["edges"], list(r["members"]), list(r["txns"]), r["first"], us, b))
         for x, p in parents.items():
             if p != x:
                 self.parent.updateValue((x,), (p,))
@@ -165,11 +202,24 @@ class Resolver(StatefulProcessor):
                 self.record.removeKey((x,))
         for x, r in records.items():
             self.record.updateValue((x,), (json.dumps(r),))
+        if self.heartbeat_ms and not list(self.handle.listTimers()):
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.heartbeat_ms)
+        if out:
+            yield pd.DataFrame(out, columns=SNAPSHOT_COLUMNS)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.heartbeat_ms)
+        out = []
+        for (root,), (text,) in self.record.iterator():
+            r = json.loads(text)
+            if r["size"] >= self.least:
+                out.append((root, r["size"], r["edges"], r["members"], r["txns"], r["first"], r["last"], None))
         if out:
-            yield pd.DataFrame(out, columns=["component_id", "size", "edge_count", "member_ids", "transaction_ids", "first_us", "last_us"])
+            yield pd.DataFrame(out, columns=SNAPSHOT_COLUMNS)
 
     def close(self) -> None:
         pass
 
 
-SNAPSHOT_SCHEMA = "component_id string, size long, edge_count long, member_ids array<string>, transaction_ids array<string>, first_us long, last_us long"
+SNAPSHOT_SCHEMA = "component_id string, size long, edge_count long, member_ids array<string>, transaction_ids array<string>, first_us long, last_us long, absorbed string"
+SNAPSHOT_COLUMNS = [c.split(" ")[0] for c in SNAPSHOT_SCHEMA.split(", ")]

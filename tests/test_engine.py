@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from ringfold.functions.numbers import DAY, HOUR
 from ringfold.functions import settings
 from ringfold.operators import alerts, components, edges, feature_store, features, gaps, generator, labels, rules
+from ringfold.plans.shared import published
 from ringfold.sources import transactions as tx
 from ringfold.streaming import pipelines
-from ringfold.streaming.processors import GapFilter
 
 T0 = tx.T0
 TXN = "transaction_id string, ts_us long, account_id string, merchant_id string, amount_cents long, status string, device_id string, ip_address string, card_last4 string, country_code string, mcc string"
@@ -127,7 +128,7 @@ def test_gap_filter_boundaries_batch_and_state(spark, inclusive):
     rows = spark.createDataFrame([(k, t, f"{k}{i:03}") for k, ts in times.items() for i, t in enumerate(ts)], "key string, ts_us long, id string")
     want = sorted((k, t) for k, ts in times.items() for t in greedy(ts, DAY, inclusive))
     assert sorted((r.key, r.ts_us) for r in gaps.keep_after_gap(rows, "key", "ts_us", "id", DAY, inclusive).collect()) == want
-    state = pipelines.keyed(rows, "key", GapFilter(DAY, "id", inclusive), rows.schema)
+    state = pipelines.keyed(rows, "key", pipelines.gap_filter(DAY, "id", inclusive), rows.schema)
     assert sorted((r.key, r.ts_us) for r in state.collect()) == want
 
 
@@ -218,7 +219,7 @@ def test_materialise_keeps_the_newest(spark, tmp_path):
     first = spark.createDataFrame([("a", 1, 1), ("b", 5, 2)], "account_id string, event_us long, v int")
     feature_store.materialise(first, "account_id", path)
     feature_store.materialise(spark.createDataFrame([("a", 2, 9), ("b", 4, 8)], first.schema), "account_id", path)
-    assert {r.account_id: r.v for r in spark.read.parquet(path).collect()} == {"a": 9, "b": 2}
+    assert {r.account_id: r.v for r in published(spark, path, first.schema).collect()} == {"a": 9, "b": 2}
 
 
 def test_generator_is_deterministic_and_rings_keep_their_shape(spark):
@@ -247,7 +248,7 @@ def test_label_writer(spark, tmp_path):
     write = pipelines.label_writer(f"file://{tmp_path}", f"file://{tmp_path}/audit")
     for k in range(2):
         write(tx.parse_confirmations(lines), k)
-    assert spark.read.parquet(f"file://{tmp_path}/labels").count() == 2
+    assert published(spark, f"file://{tmp_path}/labels", pipelines.LABEL_SCHEMA).count() == 2
     assert spark.read.text(f"file://{tmp_path}/audit").count() == 4
 
 
@@ -265,3 +266,64 @@ def test_alerts_read_the_settings(spark, monkeypatch):
     monkeypatch.setenv("ALERT_SCORE_THRESHOLD_LOW", "0.95")
     d = spark.createDataFrame([("t", "a", T0, 0.94)], "transaction_id string, account_id string, ts_us long, composite_score double")
     assert alerts.alerts(d).count() == 0
+
+
+def json_folder(spark, path, rows):
+    tx.json_sink(rows, path)
+    return spark.readStream.text(path)
+
+
+def test_topology_from_files_to_alerts(spark, tmp_path):
+    """Confirmed accounts give R09, accounts of a large component R01, and the alerts are limited."""
+    minute = 60_000_000
+    rows = [txn(i, T0 + i * minute, f"a{i % 12}", "m", cents=50, device="shared") for i in range(60)]
+    wire = frame(spark, rows).select("transaction_id", F.timestamp_micros("ts_us").alias("timestamp"), "account_id", "merchant_id", (F.col("amount_cents") / 100).alias("amount_usd"), "status", "device_id")
+    said = tx.confirmation(spark, "c", ["a3"]).select(F.from_json("value", "component_id string, member_ids array<string>, reason string, analyst string").alias("r")).select("r.*", F.timestamp_micros(F.lit(T0)).alias("confirmed_at"))
+    home = f"file://{tmp_path}/out"
+    streams = json_folder(spark, f"file://{tmp_path}/txns", wire), json_folder(spark, f"file://{tmp_path}/said", said)
+    for _ in range(2):  # the second start finds nothing new and writes nothing twice
+        for q in pipelines.topology(*streams, home, {"availableNow": True}, heartbeat_ms=None):
+            q.awaitTermination()
+    scores = spark.read.parquet(f"{home}/scores").collect()
+    assert len({r.transaction_id for r in scores}) == len(scores)
+    assert {r.account_id for r in scores if "R09" in r.triggered} == {"a3"}
+    assert published(spark, f"{home}/labels", pipelines.LABEL_SCHEMA).count() == 2 and spark.read.text(f"{home}/audit").count() == 1
+    got = pipelines.run_to_table(pipelines.alerts_of(spark, home), "alerts")
+    times = sorted(r.ts_us for r in got.where("account_id = 'a3'").collect())
+    assert times == greedy([r.ts_us for r in scores if r.account_id == "a3"], 10 * minute, True)
+
+
+def test_late_rows_count_only_their_past(spark):
+    """Two batches, the second with a row older than all of the first."""
+    first = frame(spark, [txn(i, T0 + 10 * HOUR + i) for i in range(5)])
+    rows = first.unionByName(frame(spark, [txn(9, T0 + 10 * HOUR - 1)]))
+    got = {r.transaction_id: r.txn_velocity_1h for r in pipelines.features(rows).collect()}
+    assert got["t9"] == 1 and got["t4"] == 6
+
+
+def test_heartbeat_leaves_out_ended_components(spark):
+    rows = [txn(1, T0, "a", "m"), txn(2, T0 + 1, "b", "n"), txn(3, T0 + 2, "a", "n"), txn(4, T0 + 3, "z", "y")]
+    got = pipelines.heartbeat(pipelines.component_stream(frame(spark, rows))).collect()
+    assert [(sorted(r.member_ids), r["size"]) for r in got] == [(["a", "b", "m", "n"], 4)]
+
+
+def test_crossing_edges(spark):
+    e = edges.entity_edges(frame(spark, [txn(i, T0 + i, f"a{i}", f"m{i}") for i in range(40)]))
+    got = pipelines.crossing(e, 4)
+    assert 0 < got.count() < 40 and got.where("source_shard = target_shard").count() == 0
+
+
+def test_components_come_again_by_the_clock(spark, tmp_path):
+    rows = frame(spark, [txn(i, T0 + i, f"a{i}", "m") for i in range(4)])
+    path = f"file://{tmp_path}/in"
+    rows.write.parquet(path)
+    stream = pipelines.component_stream(spark.readStream.schema(rows.schema).parquet(path), heartbeat_ms=500)
+    q = stream.writeStream.format("memory").queryName("beats").outputMode("append").trigger(processingTime="1 second").start()
+    try:
+        until = time.time() + 100
+        while time.time() < until and spark.table("beats").where("absorbed IS NULL").count() < 2:
+            time.sleep(1)
+        beats = spark.table("beats").where("absorbed IS NULL").collect()
+        assert len(beats) >= 2 and {(r["size"], r.edge_count) for r in beats} == {(5, 4)}
+    finally:
+        q.stop()
