@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ringfold.functions.numbers import DAY, HOUR
+from ringfold import cli
 from ringfold.functions import settings
-from ringfold.operators import alerts, components, edges, feature_store, features, gaps, generator, labels, rules
+from ringfold.operators import alerts, components, edges, feature_store, features, gaps, generator, labels, metrics, rules
 from ringfold.plans.shared import published
 from ringfold.sources import transactions as tx
 from ringfold.streaming import pipelines
@@ -327,3 +328,27 @@ def test_components_come_again_by_the_clock(spark, tmp_path):
         assert len(beats) >= 2 and {(r["size"], r.edge_count) for r in beats} == {(5, 4)}
     finally:
         q.stop()
+
+
+def test_command_lines(spark, tmp_path, capsys):
+    home = f"file://{tmp_path}"
+    cli.main(["generate", "--out", f"{home}/txns", "--events", "50", "--num-fraud-rings", "2"], spark)
+    cli.main(["confirm", "c1", "--members", "a", "b", "--out", f"{home}/said"], spark)
+    assert tx.good(tx.parse(spark.read.text(f"{home}/txns"))).count() == 50
+    (c,) = tx.parse_confirmations(spark.read.text(f"{home}/said")).collect()
+    assert (c.component_id, c.member_ids, c.analyst) == ("c1", ["a", "b"], "system")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cli.main(["pipeline", "--dry-run", "--transactions", f"{home}/txns", "--confirmations", f"{home}/said", "--out", f"{home}/out"], spark)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "composite_score" in capsys.readouterr().out
+
+
+def test_size_tiers(spark):
+    got = [r.t for r in spark.range(40).select(alerts.size_tier(F.col("id")).alias("t")).collect()]
+    assert [got[i] for i in (4, 5, 15, 30)] == [None, "medium", "high", "critical"]
+
+
+def test_generator_stream_and_shuffle_and_observation(spark):
+    d = generator.shuffled(spark.range(30))
+    assert sorted(r.id for r in d.collect()) == list(range(30))
+    assert generator.rate_stream(spark, 5).isStreaming and metrics.observed(d).count() == 30
