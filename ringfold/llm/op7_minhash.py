@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfold.llm.common import map_rows, table, utf8
+from ringfold.llm.common import WORD, map_rows, table, utf8
 from ringfold.operators.components import connected_components
 from ringfold.plans.shared import cut
 
@@ -268,3 +268,18 @@ def across(placed: DataFrame, posted: DataFrame, texts: DataFrame, met: DataFram
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: All pairs that share a shingle, counted: the exact links of the contract.
+SQL = rf"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+{SHINGLE - 1}], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= {PERCENT} * (x.n + y.n - k)),
+pair AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+walk AS (SELECT a AS node, a AS reached FROM pair UNION SELECT w.node, p.b FROM walk w JOIN pair p ON w.reached = p.a),
+part AS (SELECT node, least(node, min(reached)) AS component FROM walk GROUP BY node)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, t.doc_id) AS component_id, coalesce(component, t.doc_id) = t.doc_id AS kept
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN part ON node = t.doc_id"""

@@ -102,3 +102,19 @@ def test_line_dedup_removes_common_short_lines(spark):
     got = dict(corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
     assert [i for i, t in sorted(got.items()) if line in t.split("\n")] == [0]
     assert all(got[i].split("\n") == [x for x in t.split("\n") if i == 0 or x != line] for i, t in rows)
+
+
+def test_run_on_odd_rows_and_on_nothing(spark, tmp_path):
+    """Nulls, repeats, ties, a long text and columns with names that the stages use themselves."""
+    rng = random.Random(41)
+    long, same = prose(rng, 20_000), prose(rng, 40)
+    rows = [(1, same, "en", "s"), (1, same, "en", "s"), (2, same, None, None), (None, prose(rng, 40), "en", None), (None, None, None, None), (4, "", "en", "s"), (5, long, "en", "s"), (6, long + " end", "de", "t"), (7, prose(rng, 40), "de", "t")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, rep long, digest string, `__text` string, gone string"
+    spark.createDataFrame([(*r, 0, 1, "x", "y", "z") for r in rows], schema).write.parquet(f"file://{tmp_path}/a/documents.parquet")
+    spark.createDataFrame([], schema).write.parquet(f"file://{tmp_path}/b/documents.parquet")
+    for d in "ab":
+        spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(f"file://{tmp_path}/{d}/benchmark.parquet")
+    got = sorted((r.doc_id or 0, r.size) for r in corpus_pipeline.run(spark, f"file://{tmp_path}/a").collect())
+    assert got == [(0, 40), (1, 40), (1, 40), (5, 20_000), (7, 40)]
+    empty = corpus_pipeline.run(spark, f"file://{tmp_path}/b")
+    assert empty.count() == 0 and "taken" in empty.columns
