@@ -6,6 +6,11 @@ it again as the next stage's docs. All but the last return the columns of docs.
 
 ORACLE_SQL is None: the support vector machines of the first stage have no SQL
 form. tests/llm/test_pipeline.py checks run() against a brute-force version.
+
+Edge cases: null text, empty text and text without a letter go in the first stage; a null lang or source keeps its
+document; rows with equal doc_id and text stay together or go together; a null doc_id passes the near-dedup
+stage, as nothing can name it; ties go to the smaller doc_id; an empty table gives an empty result with the same columns; further
+columns, whatever their names, pass all stages but the last, which returns the columns of the mix.
 """
 
 from __future__ import annotations
