@@ -3,11 +3,11 @@ r"""Secret scan in DataFrame functions only: three fixed kinds, and a randomness
 Fixed kinds (leftmost, not overlapping within a kind): assign, access and hex, by BASE.
 
 Battery. Candidates are runs of 20 or more characters of [A-Za-z0-9+/_=-]. The encoding is
-inferred from the characters: hex (lower or upper), base32, base64 with a digit and both cases, else
-none. Under the hypothesis that a candidate is uniform over its encoding's
+inferred from the characters: hex (lower or upper), base32, base36 (lower or upper, with a digit), base62 and
+base64 with a digit and both cases, else none. Under the hypothesis that a candidate is uniform over its encoding's
 alphabet, three tests give two-sided normal scores:
-- chi-squared uniformity over equal cells of the alphabet, at least four, with five
-  characters or more expected in each (Wilson-Hilferty),
+- chi-squared uniformity over cells of the alphabet of nearly equal width, at least four, with five
+  characters or more expected in each (Wilson-Hilferty); each cell is held against its own width,
 - runs above and below the middle of the alphabet (Wald-Wolfowitz),
 - serial correlation of neighbouring characters at lag one.
 The p-value of the smallest of the three is 1 - (1 - p)^3 (Sidak).
@@ -15,12 +15,14 @@ The p-value of the smallest of the three is 1 - (1 - p)^3 (Sidak).
 Length-aware false-discovery control. Uniform strings have uniform p-values,
 words and identifiers have values near 0. For each encoding and length class (powers of
 two) the share of uniform strings is estimated from the upper half of the
-p-values (Storey), and the smallest threshold t is taken at which the estimated
-share of non-uniform strings among those with p >= t is at most FDR. Short strings,
-on which the tests have little power, so get strict thresholds by themselves. Candidates
+p-values (Storey), and the smallest of the BINS thresholds t is taken at which the estimated
+share of non-uniform strings among those with p >= t is at most FDR. Each estimate starts from
+PRIOR uniform and PRIOR other strings, of which the tests miss a share that halves with every HALF
+characters. So a long string that is alone in its class is judged by its length, a short one
+is not reported without others like it, and where there are many the counts decide. Candidates
 that reach their threshold are spans of kind random, unless a span of a fixed kind overlaps them.
 
-The histograms of p-values have at most 3 * 32 * 64 cells whatever the input; texts
+The histograms of p-values have at most 5 * 32 * 64 cells whatever the input; texts
 are read once, what passes on is the spans and candidates of the documents that have any.
 
 Positions are code points of the whole text, end exclusive; of an assign match
@@ -48,10 +50,12 @@ BASE = {
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 FDR = 0.1
 BINS = 64
+PRIOR = 16.0
+HALF = 8.0
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
-ALPHABETS = {"hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base64": UPPER + LOWER + DIGITS + "+/"}
+ALPHABETS = {"hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base36": DIGITS + LOWER, "base62": UPPER + LOWER + DIGITS, "base64": UPPER + LOWER + DIGITS + "+/"}
 
 
 def spans(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
@@ -80,13 +84,14 @@ def encoding(token: Column) -> Column:
     hex_ = like(r"^(?:[0-9a-f]+|[0-9A-F]+)$") & like("[0-9]") & like("[a-fA-F]")
     base32 = like(r"^[A-Z2-7]+$") & like("[2-7]") & like("[A-Z]")
     base64 = like(r"^[A-Za-z0-9+/_-]+$") & like("[a-z]") & like("[A-Z]") & like("[0-9]")
-    return F.when(hex_, "hex").when(base32, "base32").when(base64, "base64")
+    base36 = like(r"^(?:[0-9a-z]+|[0-9A-Z]+)$") & like("[0-9]") & like("[a-zA-Z]")
+    return F.when(hex_, "hex").when(base32, "base32").when(base36, "base36").when(base64 & ~like("[+/_-]"), "base62").when(base64, "base64")
 
 
 def numbers(token: Column, code: Column) -> Column:
     """The characters of a token as numbers from 0 within its encoding's alphabet."""
     body = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
-    body = F.when(code == "hex", F.lower(body)).otherwise(body)
+    body = F.when(code.isin("hex", "base36"), F.lower(body)).otherwise(body)
     alphabet = reduce(lambda acc, kv: F.when(code == kv[0], F.lit(kv[1])).otherwise(acc), ALPHABETS.items(), F.lit(None))
     return F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c) - 1)
 
@@ -102,11 +107,12 @@ def battery(x: Column, size: Column) -> Column:
     """p-value in [0, 1] of an array of numbers under uniformity over 0 .. size - 1."""
     n = F.size(x).cast("double")
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
-    # equal cells of the alphabet, so many that five characters or more are expected in each, four at least
+    # cells of the alphabet, so many that five characters or more are expected in each, four at least
     cells = F.least(size, F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(4.0), n / 5)))))
-    squares = lambda cell: total(F.transform(F.array_distinct(cell), lambda c: F.pow(F.size(F.filter(cell, lambda y: y == c)).cast("double"), 2)))
+    width = lambda c: F.ceil((c + 1) * size / cells) - F.ceil(c * size / cells)
+    squares = lambda cell: total(F.transform(F.array_distinct(cell), lambda c: F.pow(F.size(F.filter(cell, lambda y: y == c)).cast("double"), 2) / width(c)))
     df = cells - 1
-    chi = let(F.transform(x, lambda v: F.floor(v * cells / size)), squares) * cells / n - n
+    chi = let(F.transform(x, lambda v: F.floor(v * cells / size)), squares) * size / n - n
     z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
     pairs = lambda a: F.zip_with(F.slice(a, 1, F.size(a) - 1), F.slice(a, 2, F.size(a) - 1), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
     runs = 1 + total(F.transform(pairs(x), lambda s: ((s["p"] * 2 >= size) != (s["q"] * 2 >= size)).cast("double")))
@@ -126,7 +132,7 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     tested = F.transform(F.filter(spans(F.col("text"), CANDIDATE), lambda x: encoding(x["m"]).isNotNull()), scored)
     found = cut(d.select("doc_id", F.sort_array(F.concat(*kinds)).alias("base"), tested.alias("tested")), "secret-spans")
     cells = found.select(F.explode("tested").alias("t")).groupBy("t.code", "t.class", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("n"))
-    # at most 3 * 32 rows whatever the input
+    # at most 5 * 32 rows whatever the input
     limit = [(r.code, r["class"], r.least) for r in thresholds(cells, fdr).collect()]
     at = lambda t: reduce(lambda acc, v: F.when((t["code"] == v[0]) & (t["class"] == v[1]), F.lit(v[2])).otherwise(acc), limit, F.lit(2.0))
     passed = F.filter("tested", lambda t: (t["p"] >= at(t)) & ~F.exists("base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
@@ -149,13 +155,19 @@ def scored(x: Column) -> Column:
 
 
 def thresholds(cells: DataFrame, fdr: float = FDR) -> DataFrame:
-    """code, class, least: by Storey's estimate from the histograms of p-values (code, class, bin, n)."""
+    """code, class, least: by Storey's estimate from the histograms of p-values (code, class, bin, n), smoothed by PRIOR strings of each sort."""
+    every = cells.select("code", "class").distinct().select("code", "class", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"), F.lit(0).alias("n"))
+    c = cells.select("code", "class", "bin", "n").union(every).groupBy("code", "class", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy("code", "class")
     up = group.orderBy(F.col("bin").desc())
     half = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(group)
-    c = cells.withColumn("uniform", F.least(2.0 * half, F.sum("n").over(group).cast("double"))).withColumn("called", F.sum("n").over(up))
-    expected = F.col("uniform") * (1 - F.col("bin") / BINS)
-    ok = (F.col("called") - expected) / F.col("called") <= fdr
+    c = c.withColumn("uniform", F.least(2.0 * half, F.sum("n").over(group).cast("double"))).withColumn("called", F.sum("n").over(up))
+    # of the strings assumed beforehand, those the tests miss have p-values as uniform ones have; the others are in the first bin
+    above = 1 - F.col("bin") / BINS
+    missed = F.pow(F.lit(0.5), F.pow(F.lit(2.0), F.col("class").cast("double")) / HALF)
+    other = PRIOR * F.when(F.col("bin") == 0, 1.0).otherwise(missed * above)
+    wrong = F.greatest(F.lit(0.0), F.col("called") - F.col("uniform") * above) + other
+    ok = wrong / (F.col("called") + PRIOR * above + other) <= fdr
     return c.groupBy("code", "class").agg(F.min(F.when(ok, F.col("bin") / BINS)).alias("least")).where("least IS NOT NULL")
 
 
