@@ -17,9 +17,10 @@ below, which are those of 85, follow from it.
    ordered rarest first; two documents with 40 collisions share one of the
    first 25 of each (prefix merging). Values that nobody shares are skipped.
 4. In each posting list the document with the most common signature is the hub.
-   Each document meets the hubs of its prefix: at most 25 pairs a document,
-   however large the group. Collisions are counted, pairs under 40 or out
-   of size dropped, the rest confirmed on their full sets.
+   Each document meets first the most common of the hubs of its prefix, then those of
+   the others that are in another component by then: one pair for a document of a
+   group around a common one, however large it is, at most 25 for any other. Collisions
+   are counted, pairs under 40 or out of size dropped, the rest confirmed on their full sets.
 5. Lists that still hold several components are settled exactly. A shingle that no
    other document of those lists has can be in no intersection; the count of the
    others, r, bounds every overlap. The lists are merged in blocks of bounded size; pairs of
@@ -169,20 +170,32 @@ def find_links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     texts = cut(docs.withColumnRenamed("doc_id", "rep").join(sigs.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "text"]), "minhash-texts")
 
     ranked = cut(rarest(sigs, prefix_length(percent)), "minhash-prefix")
-    prefix = ranked.select(F.explode("prefix").alias("key"), "rep", "n", "common")
+    prefix = ranked.select(F.explode("prefix").alias("key"), "rep", "common")
     # hubs and all other sides that aggregates make are tables, so that Spark can split a join on a key with very many rows
-    hub = prefix.groupBy("key").agg(F.max(F.struct("common", F.negative("rep").alias("m"))).alias("h"), F.count("*").alias("c")).where("c > 1").select("key", (-F.col("h.m")).alias("b"))
-    met = prefix.select("key", "rep").join(cut(hub, "minhash-hubs"), "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    met = cut(met, "minhash-met")
-    first = cut(confirm(collide(met, sigs, percent), texts, percent), "minhash-first")
+    hub = prefix.groupBy("key").agg(F.max(F.struct("common", F.negative("rep").alias("m"))).alias("h"), F.count("*").alias("c")).where("c > 1")
+    hub = cut(hub.select("key", F.col("h.common").alias("weight"), (-F.col("h.m")).alias("b")), "minhash-hubs")
+    best = prefix.select("key", "rep").join(hub, "key").where("rep <> b").groupBy("rep").agg(F.max(F.struct("weight", F.negative("b").alias("m"))).alias("h"))
+    met = cut(best.select(F.col("rep").alias("a"), (-F.col("h.m")).alias("b")), "minhash-met")
+    links = cut(confirm(collide(met, sigs, percent), texts, percent), "minhash-first")
+
+    placed, keyed = grouped(ranked, links)
+    theirs = cut(hub.join(placed.select(F.col("rep").alias("b"), F.col("part").alias("hub_part")), "b").select("key", "b", "hub_part"), "minhash-hub-parts")
+    others = keyed.join(theirs, "key").where("part <> hub_part").select(F.col("rep").alias("a"), "b").distinct().join(met, ["a", "b"], "left_anti")
+    others = cut(others, "minhash-met")
+    links = cut(links.unionByName(confirm(collide(others, sigs, percent), texts, percent)), "minhash-second")
+
+    placed, keyed = grouped(ranked, links)
+    open_keys = cut(keyed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c"), "minhash-open")
+    left = across(placed, keyed.join(open_keys, "key"), texts, met.unionByName(others), sigs, percent)
+    return links.unionByName(confirm(left, texts, percent))
+
 
-    parts = connected_components(first)
+def grouped(ranked: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rep, n, prefix, part) and its postings (key, rep, part): the component that the links so far give each document."""
+    parts = connected_components(links)
     placed = ranked.join(parts, F.col("rep") == F.col("node"), "left").select("rep", "n", "prefix", F.coalesce("component", "rep").alias("part"))
     placed = cut(placed, "minhash-parts")
-    keyed = placed.select(F.explode("prefix").alias("key"), "rep", "part")
-    open_keys = cut(keyed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c"), "minhash-open")
-    left = across(placed, keyed.join(open_keys, "key"), texts, met, sigs, percent)
-    return first.unionByName(confirm(left, texts, percent))
+    return placed, placed.select(F.explode("prefix").alias("key"), "rep", "part")
 
 
 def rarest(sigs: DataFrame, length: int) -> DataFrame:
