@@ -68,8 +68,8 @@ def text_part(text: Column) -> Column:
 
 
 def format_chats(messages: DataFrame, parts: Column | None = None) -> DataFrame:
-    """conv_id, formatted, loss (array of start, length), attachments from rows conv_id, turn, role and `parts` or text."""
-    seen = flatten(parts) if parts is not None else F.struct(escape(F.coalesce(F.col("text"), F.lit(""))).alias("body"), F.array().cast("array<struct<position:int,type:string,ref:string,tokens:bigint>>").alias("attachments"))
+    """conv_id, formatted, loss (array of start, length), attachments from rows conv_id, turn, role and `parts`; without parts, text is the one part."""
+    seen = flatten(text_part(F.col("text")) if parts is None else parts)
     rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), seen.alias("c"))
     turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "c"))).alias("t"))
     head = lambda x: F.concat(F.lit(TURN), escape(x["role"]), F.lit(BODY))

@@ -329,6 +329,19 @@ def test_chat_parts_become_placeholders(spark):
     assert [(a.position, a.type, a.ref, a.tokens) for a in r.attachments] == [(0, "image", "a.png", 85 + 170 * 2), (1, "audio", "b.wav", 75), (2, "document", "c.pdf", 3)]
 
 
+def test_chat_query_gets_its_texts_through_the_visitor(spark, tmp_path, monkeypatch):
+    rows = [(1, 0, "user", "a <b>"), (1, 1, "assistant", "c [d]"), (2, 0, "assistant", None)]
+    spark.createDataFrame(rows, CHAT).write.parquet(f"{tmp_path}/conversations.parquet")
+    plain = {r.conv_id: r for r in op5_chat.op5_chat(spark, str(tmp_path)).collect()}
+    assert [plain[c].formatted_chars for c in (1, 2)] == [len("<|turn|>user<|body|>a <\\b><|end|><|turn|>assistant<|body|>c [\\d]<|end|>"), len("<|turn|>assistant<|body|><|end|>")]
+    # the visitor meets each text as a typed part: with an image behind it every turn is longer by a placeholder
+    image = F.array(F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), F.lit("x.png").alias("ref"), F.lit(1).cast("long").alias("size")))
+    visitor = op5_chat.flatten
+    monkeypatch.setattr(op5_chat, "flatten", lambda parts: visitor(F.concat(parts, image)))
+    seen = {r.conv_id: r for r in op5_chat.op5_chat(spark, str(tmp_path)).collect()}
+    assert {c: seen[c].formatted_chars - plain[c].formatted_chars for c in seen} == {c: plain[c].n_turns * len("<|image:0|>") for c in plain}
+
+
 # 6 ---------------------------------------------------------------------------------
 
 
