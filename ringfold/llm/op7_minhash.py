@@ -23,10 +23,11 @@ below, which are those of 85, follow from it.
    are counted, pairs under 40 or out of size dropped, the rest confirmed on their full sets.
 5. Lists that still hold several components are settled exactly. A shingle that no
    other document of those lists has can be in no intersection; the count of the
-   others, r, bounds every overlap. The lists are merged in blocks of bounded size; pairs of
+   others, r, bounds every overlap. The lists are merged in blocks of bounded size; for pairs of
    different components with min(r) >= 0.85 / 1.85 * (n + n') and 40 collisions
-   leave the merge, once each, and are confirmed likewise. The merge compares members of
-   a list, but only those not yet in one component, and puts out no others.
+   the merge itself counts the common shingles, by their hashes. A pair that reaches the threshold
+   leaves the merge and makes one component of two there, so a block puts out fewer pairs than it
+   has documents; they are confirmed likewise. Pairs that are refuted make no rows.
 
 Edge cases: null text or text without words has n_shingles 0, is linked with
 nothing and kept; fewer than five words are one shingle; rows that repeat a
@@ -55,7 +56,8 @@ PERCENT = 85
 K = 64
 MISS = 4e-6
 CHUNK = 2048
-BLOCK = 4096
+#: Documents and shingles of a side of a block, about.
+BLOCK, WEIGHT = 4096, 1 << 21
 
 _RNG = np.random.default_rng(20250101)
 _FACTORS = (_RNG.integers(0, 1 << 63, size=K, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -127,7 +129,8 @@ def _confirmed(rows: Iterable[tuple], percent: int) -> Iterator[tuple]:
 def _spelled(rows: Iterable[tuple]) -> Iterator[tuple]:
     cache = WordHash()
     for rep, text in rows:
-        yield rep, shingle_hashes(text, cache).view(np.int64).tolist()
+        s = shingle_hashes(text, cache)
+        yield rep, xxhash.xxh3_128_digest(s.tobytes()), len(s), s.view(np.int64).tolist()
 
 
 def prefix_length(percent: int) -> int:
@@ -186,7 +189,7 @@ def find_links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     placed, keyed = grouped(ranked, links)
     open_keys = cut(keyed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c"), "minhash-open")
-    left = across(placed, keyed.join(open_keys, "key"), texts, met.unionByName(others), sigs, percent)
+    left = across(placed, keyed.join(open_keys, "key"), texts, sigs, percent)
     return links.unionByName(confirm(left, texts, percent))
 
 
@@ -226,57 +229,79 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def supported(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """rep, r: the shingles that at least one other document of reps has as well."""
-    rows = map_rows(texts.join(reps, "rep", "left_semi"), _spelled, "rep long, s array<bigint>").select("rep", F.explode("s").alias("s"))
+    """rep, r, s, sizes, lengths: the shingles that at least one other document of reps has as well, as hashes.
+
+    s has them text by text, lengths how many each text has of them, r of all, sizes how many shingles a text has in all.
+    """
+    rows = map_rows(texts.join(reps, "rep", "left_semi"), _spelled, "rep long, set binary, n long, s array<bigint>").select("rep", "set", "n", F.explode("s").alias("s"))
     rows = cut(rows, "minhash-shingles")
     shared = rows.groupBy("s").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("s")
-    return rows.join(cut(shared, "minhash-common"), "s", "left_semi").groupBy("rep").agg(F.count("*").alias("r"))
+    each = rows.join(cut(shared, "minhash-common"), "s", "left_semi").groupBy("rep", "set").agg(F.first("n").alias("n"), F.collect_set("s").alias("s"))
+    all_ = each.groupBy("rep").agg(F.collect_list(F.struct("n", "s")).alias("x"))
+    lengths = F.transform("x", lambda x: F.size(x["s"]).cast("long"))
+    return all_.select("rep", F.size(F.flatten("x.s")).cast("long").alias("r"), F.flatten("x.s").alias("s"), F.col("x.n").alias("sizes"), lengths.alias("lengths"))
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _merged(block: pa.Table, percent: int) -> pa.Table:
-    """The pairs of one posting list, or of two blocks of a long one, that can still be linked.
+    """Links that make the components of the links in one posting list, or in two blocks of a long one.
 
-    A pair is given by the smallest value that both prefixes have, so it comes once.
+    A pair is looked at under the smallest value that both prefixes have, so in one list alone.
     """
     c = {name: block.column(name).to_numpy() for name in ("key", "rep", "n", "r", "part", "side")}
     sigs = np.array(block.column("sig").to_pylist(), dtype=np.int32).reshape(-1, K)
-    prefixes = block.column("prefix").to_pylist()
+    prefixes, sizes, lengths = (block.column(name).to_pylist() for name in ("prefix", "sizes", "lengths"))
+    lists = block.column("s").combine_chunks()
+    starts, ids = lists.offsets.to_numpy().tolist(), np.unique(lists.values.to_numpy(), return_inverse=True)[1]
+    held = np.zeros(len(ids), dtype=bool)
+    part = np.unique(c["part"], return_inverse=True)[1]
     two = bool(c["side"].max() != c["side"].min())
     key, least, out = int(c["key"][0]), matches(percent), ([], [])
+
+    def texts(i: int) -> Iterator[tuple[int, np.ndarray]]:
+        at = starts[i]
+        for n, length in zip(sizes[i], lengths[i], strict=True):
+            yield n, ids[at : at + length]
+            at += length
+
     for i in range(len(sigs)):
         other = np.arange(i + 1, len(sigs)) if not two else np.flatnonzero(c["side"] > c["side"][i])
         low, n, m = np.minimum(c["r"][other], c["r"][i]), c["n"][other], c["n"][i]
-        fits = (c["part"][other] != c["part"][i]) & ((100 + percent) * low >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        fits = (part[other] != part[i]) & ((100 + percent) * low >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
         other = other[fits]
-        other = other[(sigs[other] == sigs[i]).sum(axis=1) >= least]
         mine = set(prefixes[i])
-        for j in other.tolist():
-            if min(mine.intersection(prefixes[j])) == key:
-                x, y = int(c["rep"][i]), int(c["rep"][j])
-                out[0].append(min(x, y))
-                out[1].append(max(x, y))
+        other = [j for j in other[(sigs[other] == sigs[i]).sum(axis=1) >= least].tolist() if min(mine.intersection(prefixes[j])) == key]
+        for n, own in texts(i) if other else ():
+            held[own] = True
+            for j in other:
+                if part[j] != part[i] and any(100 * (both := int(np.count_nonzero(held[its]))) >= percent * (n + m - both) for m, its in texts(j)):
+                    x, y = int(c["rep"][i]), int(c["rep"][j])
+                    out[0].append(min(x, y))
+                    out[1].append(max(x, y))
+                    part[part == part[j]] = part[i]
+            held[own] = False
     return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in out], schema=_PAIRS)
 
 
-def across(placed: DataFrame, posted: DataFrame, texts: DataFrame, met: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that can still be linked; pairs already met are left out.
+def across(placed: DataFrame, posted: DataFrame, texts: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose shingle hashes reach the threshold, as many as join what they can join in a block.
 
     placed: rep, n, prefix, part. posted: key, rep, c of the lists that hold several components, c documents each.
-    Lists are merged in blocks of about BLOCK documents: a short list is one group, a long one as many
-    groups as it has pairs of blocks, each dealt on its own. Only pairs with enough collisions leave a group.
+    Lists are merged in blocks of about BLOCK documents or WEIGHT shingles: a short list is one group, a long one as many
+    groups as it has pairs of blocks, each dealt on its own.
     """
     posted = cut(posted.select("key", "rep", "c"), "minhash-posted")
     support = supported(posted.select("rep").distinct(), texts)
     able = placed.join(support, "rep").where(100 * F.col("r") >= percent * F.col("n")).join(sigs.select("rep", "sig"), "rep")
-    rows = posted.join(cut(able, "minhash-able"), "rep").withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    rows = rows.select("key", "rep", "n", "r", "part", "side", "sig", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    able = cut(able, "minhash-able")
+    heavy = cut(posted.join(able.select("rep", "r"), "rep").groupBy("key").agg(F.sum("r").alias("w")), "minhash-weights")
+    rows = posted.join(able, "rep").join(heavy, "key")
+    rows = rows.withColumn("blocks", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("w") / WEIGHT))).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.select("key", "rep", "n", "r", "part", "side", "sig", "prefix", "s", "sizes", "lengths", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     rows = rows.withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")}).drop("other")
-    pairs = rows.repartition("key", "lo", "hi").groupBy("key", "lo", "hi").applyInArrow(lambda block: _merged(block, percent), "a long, b long")
-    known = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(known, ["a", "b"], "left_anti")
+    return rows.repartition("key", "lo", "hi").groupBy("key", "lo", "hi").applyInArrow(lambda block: _merged(block, percent), "a long, b long")
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

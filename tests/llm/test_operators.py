@@ -517,6 +517,24 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, block):
     assert all(r.n_shingles == sizes[r.doc_id] for r in got)
 
 
+def test_pairs_just_below_the_threshold_leave_no_merge(spark, monkeypatch):
+    rng = random.Random(15)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(60):  # any two share 166 of 226 shingles or a few more: most pairs collide often enough, hardly any is a link
+        w = list(base)
+        for k in rng.sample(range(5, 195), 3):
+            w[k] = f"own{i}-{k}"
+        rows.append((1 + i % 55, " ".join(w)))  # some documents have two texts
+    rows += [(100 + i, rows[i][1] + " end") for i in range(5)]
+    left, merge = [], op7_minhash.across
+    monkeypatch.setattr(op7_minhash, "across", lambda *a: left.append(merge(*a)) or left[-1])
+    got = op7_minhash.near_duplicates(docs(spark, rows)).collect()
+    want = groups(rows)
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((d, want[d]) for d, _ in rows)
+    assert len(set(want.values())) > 20
+    assert left[0].count() < len(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert op7_minhash.near_duplicates(docs(spark, [])).count() == 0
 
