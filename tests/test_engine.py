@@ -7,6 +7,7 @@ import json
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from ringfold.functions import settings
 from ringfold.operators import alerts, components, edges, feature_store, features, gaps, generator, labels, metrics, rules
 from ringfold.plans.shared import published
 from ringfold.sources import transactions as tx
-from ringfold.streaming import pipelines
+from ringfold.streaming import pipelines, processors
 
 T0 = tx.T0
 TXN = "transaction_id string, ts_us long, account_id string, merchant_id string, amount_cents long, status string, device_id string, ip_address string, card_last4 string, country_code string, mcc string"
@@ -352,3 +353,60 @@ def test_generator_stream_and_shuffle_and_observation(spark):
     d = generator.shuffled(spark.range(30))
     assert sorted(r.id for r in d.collect()) == list(range(30))
     assert generator.rate_stream(spark, 5).isStreaming and metrics.observed(d).count() == 30
+
+
+class FakeMap:
+    """Map state in memory that counts its reads."""
+
+    def __init__(self):
+        self.rows, self.reads = {}, 0
+
+    def exists(self):
+        return bool(self.rows)
+
+    def containsKey(self, key):
+        self.reads += 1
+        return key in self.rows
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+
+class FakeHandle:
+    def __init__(self):
+        self.maps = {}
+
+    def getMapState(self, name, key, value, ttl_ms=None):
+        return self.maps.setdefault(name, FakeMap())
+
+
+def two_batches(spark, rows, tmp_path):
+    """rows as a stream of two files, one in each micro-batch, by time."""
+    cut = sorted(r.ts_us for r in rows.select("ts_us").collect())[rows.count() // 2]
+    for k, part in enumerate((rows.where(F.col("ts_us") < cut), rows.where(F.col("ts_us") >= cut))):
+        part.coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in{k}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/in*")
+
+
+def test_gap_filter_takes_many_keys_in_a_group():
+    """One group holds a bucket of keys: one call for all, no read of state that is not there, and one a key once it is."""
+    f, handle = processors.GapFilter(DAY, "id", False, by="key"), FakeHandle()
+    f.init(handle)
+    batch = lambda day: pd.DataFrame([(f"k{i}", day * DAY + i, f"{i}") for i in range(300)], columns=["key", "ts_us", "id"])
+    assert len(next(f.handleInputRows(1, iter([batch(0)]), None))) == 300 and handle.maps["last"].reads == 0
+    assert not list(f.handleInputRows(1, iter([batch(1)]), None)) and handle.maps["last"].reads == 300
+    assert len(next(f.handleInputRows(1, iter([batch(2)]), None))) == 300
+
+
+def test_gap_filter_of_buckets_over_two_batches(spark, tmp_path):
+    rng = random.Random(4)
+    rows = spark.createDataFrame([(f"k{rng.randrange(40)}", rng.randrange(6 * DAY), f"{i:04}") for i in range(900)], "edge_key string, ts_us long, transaction_id string")
+    want = sorted(map(tuple, gaps.keep_after_gap(rows, "edge_key", "ts_us", "transaction_id", DAY, inclusive=False).collect()))
+    stream = pipelines.deduplicated(two_batches(spark, rows, tmp_path))
+    assert sorted(map(tuple, pipelines.run_to_table(stream, "two").collect())) == want
