@@ -410,3 +410,21 @@ def test_gap_filter_of_buckets_over_two_batches(spark, tmp_path):
     want = sorted(map(tuple, gaps.keep_after_gap(rows, "edge_key", "ts_us", "transaction_id", DAY, inclusive=False).collect()))
     stream = pipelines.deduplicated(two_batches(spark, rows, tmp_path))
     assert sorted(map(tuple, pipelines.run_to_table(stream, "two").collect())) == want
+
+
+def test_features_take_many_accounts_in_a_group():
+    """A group is a bucket of accounts; the second batch counts what the first left in state."""
+    f, handle = processors.Features(), FakeHandle()
+    f.init(handle)
+    batch = lambda us: pd.DataFrame([(f"t{us}-{i}", f"a{i}", us, 50, "d", None, None) for i in range(200)], columns=["transaction_id", "account_id", "ts_us", "amount_cents", "device_id", "ip_address", "country_code"])
+    first = next(f.handleInputRows(1, iter([batch(0)]), None))
+    assert set(first.txn_velocity_1h) == {1} and sum(m.reads for m in handle.maps.values()) == 0
+    second = next(f.handleInputRows(1, iter([batch(HOUR)]), None))
+    assert (set(second.txn_velocity_1h), set(second.txn_velocity_24h), len(second)) == ({2}, {2}, 200)
+
+
+def test_features_of_buckets_over_two_batches(spark, tmp_path):
+    rng = random.Random(5)
+    rows = frame(spark, [txn(i, T0 + rng.randrange(3 * DAY), f"a{rng.randrange(9)}", cents=rng.randrange(1, 90000), device=rng.choice(["x", "y", "", None]), ip=rng.choice(["1", None]), country=rng.choice(["US", "gb", None])) for i in range(300)])
+    want = sorted(map(tuple, features.account_features(rows).collect()))
+    assert sorted(map(tuple, pipelines.run_to_table(pipelines.features(two_batches(spark, rows, tmp_path)), "two").collect())) == want
