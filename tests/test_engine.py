@@ -428,3 +428,16 @@ def test_features_of_buckets_over_two_batches(spark, tmp_path):
     rows = frame(spark, [txn(i, T0 + rng.randrange(3 * DAY), f"a{rng.randrange(9)}", cents=rng.randrange(1, 90000), device=rng.choice(["x", "y", "", None]), ip=rng.choice(["1", None]), country=rng.choice(["US", "gb", None])) for i in range(300)])
     want = sorted(map(tuple, features.account_features(rows).collect()))
     assert sorted(map(tuple, pipelines.run_to_table(pipelines.features(two_batches(spark, rows, tmp_path)), "two").collect())) == want
+
+
+def test_alert_stream_computes_features_once(spark):
+    """Two stateful steps, features and rate limit; a union of free and limited alerts would have the features twice."""
+    plan = pipelines.alert_stream(frame(spark, [txn(1, T0)]))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("TransformWithState") == 2
+
+
+def test_limit_lets_other_alerts_pass(spark):
+    minute = 60_000_000
+    rows = spark.createDataFrame([(f"{i}", f"a{i % 3}", T0 + i * minute, 0.9 if i % 2 else 0.4) for i in range(60)], "transaction_id string, account_id string, ts_us long, composite_score double")
+    want = sorted(map(tuple, alerts.rate_limited(rows).collect()))
+    assert sorted(map(tuple, pipelines.limited(rows).collect())) == want
